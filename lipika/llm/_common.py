@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 #: Rows of one Arrow batch that hold whole texts; keeps a Python worker's memory bounded.
 TEXT_BATCH_ROWS = 1000
+TEXT_BATCH_BYTES = 16 << 20
 
 _private: list[str] = []
 
@@ -48,6 +49,7 @@ def small_batches(spark: SparkSession) -> None:
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if spark.conf.get(key) == "10000":
         spark.conf.set(key, str(TEXT_BATCH_ROWS))
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(TEXT_BATCH_BYTES))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
