@@ -1,8 +1,8 @@
 """Operators for training-data pipelines. Nothing else in the library imports this subpackage."""
 
-from lipika.llm import mixing, near_dup
+from lipika.llm import decontaminate, mixing, near_dup, pii, quality_rules
 
-_MODULES = (near_dup, mixing)
+_MODULES = (quality_rules, decontaminate, pii, near_dup, mixing)
 
 
 def queries() -> dict:
