@@ -1,8 +1,8 @@
 """Operators for training-data pipelines. Nothing else in the library imports this subpackage."""
 
-from lipika.llm import decontaminate, mixing, near_dup, pii, quality_rules
+from lipika.llm import decontaminate, epsilon_join, line_blocks, mixing, near_dup, pii, quality_rules, toxicity_crf
 
-_MODULES = (quality_rules, decontaminate, pii, near_dup, mixing)
+_MODULES = (quality_rules, epsilon_join, line_blocks, toxicity_crf, decontaminate, pii, near_dup, mixing)
 
 
 def queries() -> dict:
