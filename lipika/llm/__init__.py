@@ -1,8 +1,8 @@
 """Operators for training-data pipelines. Nothing else in the library imports this subpackage."""
 
-from lipika.llm import decontaminate, epsilon_join, line_blocks, mixing, near_dup, pii, quality_rules, toxicity_crf
+from lipika.llm import decontaminate, epsilon_join, line_blocks, mixing, near_dup, pii, quality_rules, toxicity_crf, training_order, url_filter
 
-_MODULES = (quality_rules, epsilon_join, line_blocks, toxicity_crf, decontaminate, pii, near_dup, mixing)
+_MODULES = (url_filter, quality_rules, epsilon_join, line_blocks, training_order, toxicity_crf, decontaminate, pii, near_dup, mixing)
 
 
 def queries() -> dict:

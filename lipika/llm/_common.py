@@ -33,14 +33,14 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{_private[0]}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Writes ``df`` once as Parquet in the shared folder and returns the table read back.
 
     This cuts the lineage: what follows never repeats what came before, also when executors go.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -24,8 +24,10 @@ from lipika.llm._common import small_batches, table
 
 #: At most so many labelled documents of either class are learned from (least hashes of doc_id).
 SAMPLE_ROWS = 2500
-WINDOW, NEGATIVES = 24, 3
-ROUNDS, STEP, RIDGE = 80, 0.25, 1e-4
+WINDOW, NEGATIVES = 16, 3
+ROUNDS, STEP, RIDGE = 50, 0.25, 1e-4
+#: A cue without a counter-example is believed if chance would make one with less than this probability.
+CHANCE = 1e-5
 MAX_FEATURES = 60_000
 #: Tokens with at least this marginal count towards the score, and make a span from SPAN on.
 FAINT, SPAN = 0.05, 0.5
@@ -43,7 +45,7 @@ def form(token: str) -> str:
 
 def features(word: str) -> list[str]:
     """Names of a word form's features; the empty form has one."""
-    return ["w:" + word, *[f"p{k}:{word[:k]}" for k in (3, 4, 5, 6) if len(word) >= k], *[f"s{k}:{word[-k:]}" for k in (2, 3) if len(word) > k]]
+    return ["w:" + word, *[f"p{k}:{word[:k]}" for k in (3, 4, 5, 6) if len(word) >= k]]
 
 
 @dataclass(frozen=True)
@@ -59,19 +61,28 @@ class Field:
 
 
 def cues(texts: list[str], toxic: np.ndarray) -> set[str]:
-    """Words (``=word``) and beginnings that explain the toxic documents, most telling first."""
+    """Words (``=word``) and beginnings that mark toxic documents.
+
+    A set cover picks the most telling ones; then come those that no other document has and
+    that toxic ones have in so many different surroundings that chance can't explain it
+    (copies of one document repeat its surroundings, and so count once).
+    """
     where: dict[str, list[int]] = defaultdict(list)
+    around: dict[str, set[int]] = defaultdict(set)
     clean: Counter = Counter()
     for k, text in enumerate(texts):
         found = set()
-        for word in {form(t) for t in text.split()}:
-            if len(word) > 2:
-                found.add("=" + word)
-                found.update(word[:n] for n in (4, 5, 6) if len(word) > n)
+        words = [form(t) for t in text.split()]
         if toxic[k]:
+            for before, word, after in zip(["", *words], words, [*words[1:], ""], strict=False):
+                for c in _candidates(word):
+                    around[c].add(hash((before, after)))
+                    found.add(c)
             for c in found:
                 where[c].append(k)
         else:
+            for word in set(words):
+                found.update(_candidates(word))
             clean.update(found)
     left = {k for k in range(len(texts)) if toxic[k]}
     support = 2 if len(left) < 200 else 3
@@ -85,7 +96,13 @@ def cues(texts: list[str], toxic: np.ndarray) -> set[str]:
         picked.add(best)
         left -= got
         pool = {c: rest for c, ks in pool.items() if len(rest := ks - got) >= support}
-    return picked
+    share = max(0.1, min(0.9, float(np.mean(toxic))))
+    enough = int(np.ceil(np.log(CHANCE) / np.log(share)))
+    return picked | {c for c, seen in around.items() if not clean[c] and len(seen) >= enough and len(where[c]) >= enough // 2}
+
+
+def _candidates(word: str) -> list[str]:
+    return ["=" + word, *[word[:n] for n in (4, 5, 6) if len(word) > n]] if len(word) > 2 else []
 
 
 def _is_cue(word: str, picked: set[str]) -> bool:
@@ -101,7 +118,7 @@ def _windows(texts: list[str], toxic: np.ndarray, picked: set[str]) -> tuple[lis
         if not w:
             continue
         y = [int(bool(t) and _is_cue(x, picked)) for x in w]
-        starts = [max(0, k - int(rng.integers(0, WINDOW))) for k in np.flatnonzero(y)[:8]]
+        starts = [max(0, k - int(rng.integers(0, WINDOW))) for k in np.flatnonzero(y)[:4]]
         starts += [int(x) for x in rng.integers(0, max(1, len(w) - WINDOW + 1), NEGATIVES)]
         for s in starts:
             words.append(w[s : s + WINDOW])
@@ -121,7 +138,7 @@ def fit(texts: list[str], toxic: np.ndarray) -> Field:
     at = {f: k + 1 for k, f in enumerate(names)}
     n = len(words)
     longest = max(map(len, words))
-    x = np.zeros((longest, n, 7), np.int32)
+    x = np.zeros((longest, n, 5), np.int32)
     y, live = np.zeros((longest, n), np.int8), np.zeros((longest, n), bool)
     for k, (w, s) in enumerate(zip(words, states, strict=True)):
         for t, word in enumerate(w):
