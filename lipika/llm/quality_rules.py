@@ -8,6 +8,7 @@ projection over the scan, without Python and without a shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,27 +27,36 @@ THRESHOLD = 0.7
 _STATISTICS = ("n_words", "word_length", "upper", "symbols", "digits", "distinct", "repeated", "symbol_words", "stops", "longest")
 
 
-def statistics(docs: DataFrame, *keep: str) -> DataFrame:
-    """``keep`` columns and the statistics of every whole text; a null text counts as empty, of which all are 0."""
-    rows = docs.select(*keep, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("q_text"))
-    rows = rows.withColumn("q_words", F.filter(F.split("q_text", r"[\x20\x09-\x0D]+"), lambda w: w != ""))
-    rows = rows.withColumn("q_n", F.size("q_words")).withColumn("q_chars", F.length("q_text"))
-    n, chars = F.greatest(F.col("q_n"), F.lit(1)), F.greatest(F.col("q_chars"), F.lit(1))
-    count = lambda pattern: F.regexp_count("q_text", F.lit(pattern))
-    again = F.size(F.filter(F.sequence(F.lit(2), F.greatest(F.col("q_n"), F.lit(2))), lambda i: F.coalesce(F.try_element_at("q_words", i) == F.try_element_at("q_words", i - 1), F.lit(False))))
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once a row, however often the body uses it and wherever a filter is pushed."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def statistics(text: Column) -> Column:
+    """The statistics of a whole text, as a struct; a null text counts as empty, of which all are 0."""
+    text = F.coalesce(text.cast("string"), F.lit(""))
+    words = lambda t: F.filter(F.split(t, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    return _bound(F.struct(text.alias("t"), words(text).alias("w")), lambda x: _statistics(x["t"], x["w"]))
+
+
+def _statistics(text: Column, words: Column) -> Column:
+    size, length = F.size(words), F.length(text)
+    n, chars = F.greatest(size, F.lit(1)), F.greatest(length, F.lit(1))
+    count = lambda pattern: F.regexp_count(text, F.lit(pattern))
+    again = F.size(F.filter(F.sequence(F.lit(2), F.greatest(size, F.lit(2))), lambda i: F.coalesce(F.try_element_at(words, i) == F.try_element_at(words, i - 1), F.lit(False))))
     values = {
-        "n_words": F.log1p("q_n"),
-        "word_length": (F.col("q_chars") - F.col("q_n")) / n,
+        "n_words": F.log1p(size),
+        "word_length": (length - size) / n,
         "upper": count(r"\p{Lu}") / chars,
         "symbols": count(r"[#*%$&|!~^<>{}\[\]=@_/\\]") / chars,
         "digits": count(r"[0-9]") / chars,
-        "distinct": F.size(F.array_distinct("q_words")) / n,
+        "distinct": F.size(F.array_distinct(words)) / n,
         "repeated": again / n,
         "symbol_words": count(r"[^\p{L}\p{N}\x20\x09-\x0D]{2}(?![^\x20\x09-\x0D])") / n,
         "stops": count(r"[.!?](?![^\x20\x09-\x0D])") / n,
-        "longest": F.log1p(F.coalesce(F.array_max(F.transform("q_words", lambda w: F.length(w))), F.lit(0))),
+        "longest": F.log1p(F.coalesce(F.array_max(F.transform(words, lambda w: F.length(w))), F.lit(0))),
     }
-    return rows.select(*keep, *[values[k].cast("double").alias(f"q_{k}") for k in _STATISTICS])
+    return F.struct(*[values[k].cast("double").alias(k) for k in _STATISTICS])
 
 
 @dataclass(frozen=True)
@@ -56,16 +66,20 @@ class Rules:
     bias: float
     weighted: tuple[tuple[float, tuple[tuple[int, bool, float], ...]], ...]
 
-    def score(self) -> Column:
-        """Probability of label 1 from the columns of ``statistics``."""
-        total = F.lit(self.bias)
-        for weight, conditions in self.weighted:
-            holds = F.lit(True)
-            for k, above, at in conditions:
-                c = F.col(f"q_{_STATISTICS[k]}")
-                holds = holds & ((c > at) if above else (c <= at))
-            total = total + F.when(holds, weight).otherwise(0.0)
-        return F.lit(1.0) / (F.lit(1.0) + F.exp(-total))
+    def score(self, text: Column) -> Column:
+        """Probability of label 1 of a whole text."""
+
+        def weigh(s: Column) -> Column:
+            total = F.lit(self.bias)
+            for weight, conditions in self.weighted:
+                holds = F.lit(True)
+                for k, above, at in conditions:
+                    c = s[_STATISTICS[k]]
+                    holds = holds & ((c > at) if above else (c <= at))
+                total = total + F.when(holds, weight).otherwise(0.0)
+            return F.lit(1.0) / (F.lit(1.0) + F.exp(-total))
+
+        return _bound(statistics(text), weigh)
 
 
 def _grow(x: np.ndarray, grad: np.ndarray, hess: np.ndarray, cuts: list[np.ndarray], rows: np.ndarray, path: tuple, depth: int, out: list, step: np.ndarray) -> None:
@@ -174,21 +188,19 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
         .orderBy(F.xxhash64("label_id"), "label_id").limit(sample_rows)
     )
     sample = docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("label_id"))
-    rows = statistics(sample, "label_id", "label_y").limit(sample_rows).toPandas().sort_values(["label_id", *[f"q_{k}" for k in _STATISTICS]])
-    return fit(rows[[f"q_{k}" for k in _STATISTICS]].to_numpy(float).reshape(-1, len(_STATISTICS)), rows["label_y"].to_numpy(float))
+    rows = sample.select("label_id", "label_y", statistics(F.col("text")).alias("s")).select("label_id", "label_y", "s.*").limit(sample_rows).toPandas().sort_values(["label_id", *_STATISTICS])
+    return fit(rows[list(_STATISTICS)].to_numpy(float).reshape(-1, len(_STATISTICS)), rows["label_y"].to_numpy(float))
 
 
 def scored(docs: DataFrame, rules: Rules) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of every row, one for one; nothing but the text is scored."""
-    score = statistics(docs, "doc_id").select("doc_id", held_out(F.col("doc_id")).alias("held_out"), rules.score().alias("score"))
+    score = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), rules.score(F.col("text")).alias("score"))
     return score.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
 def good_documents(docs: DataFrame, rules: Rules) -> DataFrame:
     """The rows of ``docs`` that score ``THRESHOLD`` or more; columns unchanged."""
-    names = docs.columns
-    kept = statistics(docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("q_row"), "text"), "q_row").where(rules.score() >= THRESHOLD)
-    return kept.select(*[F.col("q_row").getField(c).alias(c) for c in names])
+    return docs.where(rules.score(F.col("text")) >= THRESHOLD)
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
