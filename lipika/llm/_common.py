@@ -12,7 +12,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows of one Arrow batch that hold whole texts; keeps a Python worker's memory bounded.
@@ -52,6 +52,22 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(TEXT_BATCH_BYTES))
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names like these that no column of ``df`` has, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
+def columns_of(df: DataFrame) -> list[Column]:
+    """The columns of ``df``, also those whose names hold dots or back quotes."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -20,7 +20,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lipika.llm._common import table
+from lipika.llm._common import columns_of, fresh, table
 
 SHINGLE, PERCENT = 5, 80
 #: Hashes that a predicate or a broadcast may hold, counted before use: 32,768 longs.
@@ -76,20 +76,26 @@ class _Search:
     def touched(self, docs: DataFrame, key: list[str]) -> DataFrame:
         """``key, shingles, h`` for each sketch hash ``h`` in a document."""
         rows = docs.select(*key, shingle_hashes(words(F.col("text")), self.shingle).alias("shingles"))
-        if self.fits:
-            rows = rows.where(F.exists("shingles", lambda h: h.isin(self.values)))
-            rows = rows.withColumn("shingles", F.array_distinct("shingles"))
-            return rows.withColumn("h", F.explode(F.filter("shingles", lambda h: h.isin(self.values))))
+        rows = rows.where(F.exists("shingles", lambda h: h.isin(self.values)))
         rows = rows.withColumn("shingles", F.array_distinct("shingles"))
-        sketch = self.items.select(F.explode("sketch").alias("h")).distinct()
-        hits = rows.select(*key, F.explode("shingles").alias("h")).join(sketch, "h")
-        return hits.join(rows, key)
+        return rows.withColumn("h", F.explode(F.filter("shingles", lambda h: h.isin(self.values))))
+
+    def _joined(self, docs: DataFrame, key: list[str]) -> DataFrame:
+        """The same by a join on the hashes, for a benchmark of any size: an item counts if a sketch hash of it is met."""
+        text = [F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(1), F.col("text")).alias("t2")]
+        hashes = docs.select(*key, *text, F.explode(F.array_distinct(shingle_hashes(words(F.col("text")), self.shingle))).alias("h"))
+        items = self.items.select("item_id", "need", F.size("shingles").alias("n_item"), F.explode("shingles").alias("h"), "sketch")
+        items = items.withColumn("leads", F.array_contains("sketch", F.col("h"))).drop("sketch")
+        met = hashes.join(items, "h").groupBy(*key, "t1", "t2", "item_id", "n_item", "need").agg(F.count_distinct("h").alias("n_common"), F.max("leads").alias("leads"))
+        return met.where("leads and n_common >= need").groupBy(*key, "item_id").agg(F.max("n_item").cast("long").alias("n_item"), F.max("n_common").alias("n_common"))
 
     def is_touched(self, text: Column) -> Column:
         return F.exists(shingle_hashes(words(text), self.shingle), lambda h: h.isin(self.values))
 
     def leaks(self, docs: DataFrame, key: list[str]) -> DataFrame:
         """``key, item_id, n_item, n_common`` of every verified pair, once."""
+        if not self.fits:
+            return self._joined(docs, key)
         by_hash = self.items.select("item_id", F.col("shingles").alias("item"), "need", F.explode("sketch").alias("h"))
         pairs = self.touched(docs, key).join(F.broadcast(by_hash) if self.small else by_hash, "h")
         pairs = pairs.withColumn("n_common", F.size(F.array_intersect("item", "shingles"))).where("n_common >= need")
@@ -117,15 +123,15 @@ def without_leaks(docs: DataFrame, items: DataFrame, shingle: int = SHINGLE, per
     through; only the few others are joined with the verdicts.
     """
     search = _Search(items.select("item_id", "text"), shingle, percent)
-    names = ["lipika_h1", "lipika_h2"]
+    names = fresh(docs, "text_h1", "text_h2")
     keyed = docs.withColumn(names[0], F.xxhash64(F.col("text"))).withColumn(names[1], F.xxhash64(F.lit(1), F.col("text")))
     bad = search.leaks(keyed, names).select(*names).distinct()
     if not search.fits:
-        return keyed.join(bad, names, "left_anti").select(*docs.columns)
+        return keyed.join(bad, names, "left_anti").select(*columns_of(docs))
     if not search.values:
         return docs
     hit = F.coalesce(search.is_touched(F.col("text")), F.lit(False))
-    return docs.where(~hit).unionByName(keyed.where(hit).join(bad, names, "left_anti").select(*docs.columns))
+    return docs.where(~hit).unionByName(keyed.where(hit).join(bad, names, "left_anti").select(*columns_of(docs)))
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

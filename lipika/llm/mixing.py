@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lipika.llm._common import table
+from lipika.llm._common import columns_of, fresh, table
 
 #: Pieces of the key space, as hexadecimal digits of the key: 16 ** 3 ranges for each source.
 RANGE_DIGITS = 3
@@ -99,21 +99,21 @@ def mixed_documents(docs: DataFrame, seed: str = SEED, weights: tuple[int, ...]
     the budget come (white space between them unchanged) and ``n_chars`` follows. Documents
     of which nothing is taken, also those without words, don't come.
     """
-    taken = mix(docs, word_count(F.col("text")), seed, weights, max_epochs).where("taken > 0").select(F.col("doc_id").alias("mix_id"), F.col("source").alias("mix_source"), F.col("size").alias("mix_size"), F.col("taken").alias("mix_taken"))
-    taken = taken.groupBy("mix_id", "mix_source", "mix_size").agg(F.max("mix_taken").alias("mix_taken"))
-    rows = docs.withColumn("mix_words", word_count(F.col("text"))).join(
-        taken, F.col("doc_id").eqNullSafe(F.col("mix_id")) & F.col("source").eqNullSafe(F.col("mix_source")) & (F.col("mix_words") == F.col("mix_size"))
-    )
-    full = F.floor(F.col("mix_taken") / F.col("mix_size")).cast("int")
-    rest = (F.col("mix_taken") % F.col("mix_size")).cast("int")
+    own_id, own_source, own_size, own_taken, counted, cut = fresh(docs, "mix_id", "mix_source", "mix_size", "mix_taken", "mix_words", "mix_cut")
+    taken = mix(docs, word_count(F.col("text")), seed, weights, max_epochs).where("taken > 0")
+    taken = taken.groupBy(F.col("doc_id").alias(own_id), F.col("source").alias(own_source), F.col("size").alias(own_size)).agg(F.max("taken").alias(own_taken))
+    rows = docs.withColumn(counted, word_count(F.col("text"))).join(taken, F.col("doc_id").eqNullSafe(F.col(own_id)) & F.col("source").eqNullSafe(F.col(own_source)) & (F.col(counted) == F.col(own_size)))
+    full = F.floor(F.col(own_taken) / F.col(own_size)).cast("int")
+    rest = (F.col(own_taken) % F.col(own_size)).cast("int")
     lengths = F.concat(F.array_repeat(F.lit(0), full), F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<int>")))
-    rows = rows.withColumn("mix_cut", F.explode(lengths))
-    words = F.slice(F.split(F.regexp_replace("text", r"^[\x20\x09-\x0D]+", ""), r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])"), 1, F.greatest(F.col("mix_cut"), F.lit(1)))
-    text = F.when(F.col("mix_cut") == 0, F.col("text")).otherwise(F.regexp_replace(F.array_join(words, ""), r"[\x20\x09-\x0D]+$", ""))
+    rows = rows.withColumn(cut, F.explode(lengths))
+    begin = F.regexp_replace("text", r"^[\x20\x09-\x0D]+", "")
+    words = F.slice(F.split(begin, r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])"), 1, F.greatest(F.col(cut), F.lit(1)))
+    text = F.when(F.col(cut) == 0, F.col("text")).otherwise(F.regexp_replace(F.array_join(words, ""), r"[\x20\x09-\x0D]+$", ""))
     rows = rows.withColumn("text", text)
     if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.when(F.col("mix_cut") == 0, F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
-    return rows.select(*docs.columns)
+        rows = rows.withColumn("n_chars", F.when(F.col(cut) == 0, F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
+    return rows.select(*columns_of(docs))
 
 
 def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

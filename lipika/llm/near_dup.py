@@ -27,8 +27,9 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lipika.llm._common import connected_components, small_batches, stored, table
+from lipika.llm._common import connected_components, fresh, small_batches, stored, table
 
+#: Coordinates of a band, at most: so many that a pair at the threshold agrees in one band of four or more often.
 ROWS = 6
 MISS = 1e-6
 #: A block of a large cluster: at most about so many documents and shingles.
@@ -38,12 +39,17 @@ BLOCK_COLUMNS = 4096
 
 _M1, _M2, _GOLD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 _EMPTY = np.uint64(2**64 - 1)
-_SEEDS = np.arange(4096, dtype=np.uint64) * _GOLD
+_SEEDS = np.arange(1 << 16, dtype=np.uint64) * _GOLD
 
 
-def bands_for(percent: int, rows: int = ROWS, miss: float = MISS) -> int:
+def rows_for(percent: int) -> int:
+    """Coordinates of a band: fewer where the threshold is low."""
+    return min(ROWS, max(1, int(math.log(0.25) / math.log(percent / 100)))) if percent < 100 else ROWS
+
+
+def bands_for(percent: int, rows: int, miss: float = MISS) -> int:
     """Bands of ``rows`` coordinates that leave a pair at the threshold unseen with at most ``miss``."""
-    return math.ceil(math.log(miss) / math.log1p(-((percent / 100) ** rows)))
+    return math.ceil(math.log(miss) / math.log1p(-((percent / 100) ** rows))) if percent < 100 else 1
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -201,7 +207,7 @@ def _linker(shingle: int, percent: int):
     return link
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, rows: int = ROWS, miss: float = MISS) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, miss: float = MISS) -> DataFrame:
     """Classes of near-duplicates: per row of ``docs`` its ``doc_id, n_shingles, component_id, kept``.
 
     Documents with ``100 * |A and B| >= percent * |A or B|`` on their shingle sets are
@@ -212,6 +218,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, rows:
     columns of ``docs`` are never read, whatever their names. No rows give no rows.
     """
     small_batches(docs.sparkSession)
+    rows = rows_for(percent)
     bands = bands_for(percent, rows, miss)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = stored(texts.mapInArrow(_signer(shingle, bands, rows), "doc_id long, n_shingles long, h1 long, h2 long, bands array<long>"), "signed")
@@ -247,8 +254,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, rows:
 
 def one_of_each(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` without those whose class has a smaller doc_id; columns unchanged."""
-    gone = near_duplicates(docs, shingle, percent).where("not kept").select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti")
+    (gone_id,) = fresh(docs, "gone_id")
+    gone = near_duplicates(docs, shingle, percent).where("not kept").select(F.col("doc_id").alias(gone_id)).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col(gone_id), "left_anti")
 
 
 def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:

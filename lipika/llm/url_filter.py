@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lipika.llm._common import table
+from lipika.llm._common import columns_of, fresh, table
 
 #: Copies of each timeline, among which the captures of one key are spread.
 SALTS = 16
@@ -58,7 +58,7 @@ def evaluate(captures: DataFrame, entries: DataFrame, salts: int = SALTS) -> Dat
     """What the lists held of each capture when it was fetched.
 
     ``captures`` has ``url, fetched_at`` and any other columns, which come back unchanged
-    (``hits`` and names that begin with ``uf_`` are ours). Adds ``hits``: the sorted array of
+    (one named ``hits`` is replaced). Adds ``hits``: the sorted array of
     ``list:kind:value`` of all entries valid then, empty if none. Every row comes back once.
     A null url or fetch time hits nothing; an empty list table leaves all hits empty.
     """
@@ -69,9 +69,11 @@ def evaluate(captures: DataFrame, entries: DataFrame, salts: int = SALTS) -> Dat
     met = looked.join(spread, ["kind", "value", "uf_salt"])
     as_of = F.element_at(F.filter("changes", lambda c: c["at"] <= F.col("uf_at")), -1)["listed"]
     hits = met.where(F.exists("changes", lambda c: c["at"] <= F.col("uf_at"))).where(as_of).groupBy("uf_url", "uf_at").agg(F.array_sort(F.collect_set(F.concat_ws(":", "list", "kind", "value"))).alias("hits"))
-    out = captures.join(hits, (F.col("url") == F.col("uf_url")) & (F.col("fetched_at") == F.col("uf_at")), "left")
-    names = [f"`{c}`" for c in captures.columns]
-    return out.select(*names, F.coalesce("hits", F.array().cast("array<string>")).alias("hits"))
+    rest = captures.drop("hits")
+    own_url, own_at = fresh(rest, "uf_url", "uf_at")
+    hits = hits.withColumnsRenamed({"uf_url": own_url, "uf_at": own_at})
+    out = rest.join(hits, (F.col("url") == F.col(own_url)) & (F.col("fetched_at") == F.col(own_at)), "left")
+    return out.select(*columns_of(rest), F.coalesce("hits", F.array().cast("array<string>")).alias("hits"))
 
 
 LISTS = ("malware", "phishing", "adult", "spam")

@@ -44,7 +44,7 @@ def tables(spark):
 def test_against_brute_force(spark, monkeypatch, bound):
     monkeypatch.setattr(D, "SKETCH_BOUND", bound)
     docs, items = tables(spark)
-    d = spark.createDataFrame([(*r, "x") for r in docs], "doc_id long, text string, shingles string")
+    d = spark.createDataFrame([(*r, "x", "y") for r in docs], "doc_id long, text string, shingles string, text_h1 string")
     i = spark.createDataFrame([(*r, "x") for r in items], "item_id long, text string, h string")
     found = {(r.doc_id, r.item_id): (r.n_item, r.n_common) for r in D.leaks(d, i).collect()}
     want = brute(docs, items)

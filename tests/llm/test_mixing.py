@@ -59,7 +59,7 @@ def test_targets_and_budgets(spark):
 
 def test_mixed_documents_hold_what_is_taken(spark):
     data = [r for r in rows(11) if r[0] not in (None, 7)]
-    df = spark.createDataFrame([(*r, len(r[1] or "")) for r in data], "doc_id long, text string, source string, n_chars long")
+    df = spark.createDataFrame([(*r, len(r[1] or ""), 1, 2) for r in data], "doc_id long, text string, source string, n_chars long, mix_cut int, `x.y` int")
     taken = {r.doc_id: (r.size, r.taken) for r in X.mix(df, X.word_count(F.col("text"))).collect()}
     out = X.mixed_documents(df)
     assert out.columns == df.columns

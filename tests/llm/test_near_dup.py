@@ -70,7 +70,7 @@ def test_no_rows(spark):
 
 def test_one_of_each_keeps_columns(spark):
     text = " ".join(f"a{i}" for i in range(30))
-    docs = spark.createDataFrame([(1, text, "s"), (2, text, "s"), (3, "other words here", None)], "doc_id long, text string, gone_ids string")
+    docs = spark.createDataFrame([(1, text, "s", "t"), (2, text, "s", "t"), (3, "other words here", None, "t")], "doc_id long, text string, gone_id string, `a.b` string")
     kept = N.one_of_each(docs)
     assert kept.columns == docs.columns
     assert sorted(r.doc_id for r in kept.collect()) == [1, 3]
@@ -89,5 +89,7 @@ def test_sketch_agrees_as_often_as_sets(spark):
 
 
 def test_bands_cover_the_threshold():
-    for percent in (50, 80, 85, 95):
-        assert (1 - (percent / 100) ** N.ROWS) ** N.bands_for(percent) <= N.MISS * 1.01
+    for percent in (30, 50, 80, 85, 95):
+        rows = N.rows_for(percent)
+        assert (1 - (percent / 100) ** rows) ** N.bands_for(percent, rows) <= N.MISS * 1.01 and rows * N.bands_for(percent, rows) < 400
+    assert N.rows_for(80) == N.rows_for(85) == 6

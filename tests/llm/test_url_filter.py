@@ -42,7 +42,7 @@ def test_against_replay(spark):
     values = [*[("domain", h) for h in [*hosts, "com"]], *[("prefix", h + p) for h in hosts for p in ("/", "/p/", "/p/q/")], *[("url", h + p) for h in hosts for p in ("", "/p", "/p/q/r?x=1")]]
     entries = [(rng.choice(["l1", "l2"]), *rng.choice(values), DAY + dt.timedelta(hours=rng.randint(0, 30) * 24), rng.random() < 0.6) for _ in range(250)]
     entries += [("l1", "domain", None, DAY, True), (None, "url", "x", DAY, True)]
-    c = spark.createDataFrame(captures, "page_id long, url string, fetched_at timestamp, value string")
+    c = spark.createDataFrame(captures, "page_id long, url string, fetched_at timestamp, uf_url string")
     e = spark.createDataFrame(entries, "list string, kind string, value string, at timestamp, listed boolean")
     found = U.evaluate(c, e)
     assert found.columns == [*c.columns, "hits"]
