@@ -37,10 +37,13 @@ def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Writes ``df`` once as Parquet in the shared folder and returns the table read back.
 
     This cuts the lineage: what follows never repeats what came before, also when executors go.
+    The table is removed when the session's JVM ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path, compression=compression)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
     return spark.read.schema(df.schema).parquet(path)
 
 
