@@ -280,7 +280,7 @@ def turn_zip(t: Tables) -> DataFrame:
 
 @query(
     """WITH k AS (SELECT DISTINCT lang, source FROM documents), r AS (SELECT lang, source, count(*) OVER (PARTITION BY lang) AS n, row_number() OVER (PARTITION BY lang ORDER BY md5('20260805/' || lang || '/' || source), source) AS r FROM k)
-SELECT doc_id, d.lang, d.source, CASE WHEN n > 1 AND r <= greatest(1, CAST(round_even(n * (1 - 0.9), 0) AS INTEGER)) THEN 'eval' ELSE 'train' END AS split FROM documents d JOIN r USING (lang, source)"""
+SELECT doc_id, d.lang, d.source, CASE WHEN n > 1 AND r <= greatest(1, CAST(round_even(n * (1 - CAST(0.9 AS DOUBLE)), 0) AS INTEGER)) THEN 'eval' ELSE 'train' END AS split FROM documents d JOIN r USING (lang, source)"""
 )
 def group_split(t: Tables) -> DataFrame:
     return S.group_split(t.documents.select("doc_id", "lang", "source"), "lang", "source")
@@ -288,7 +288,7 @@ def group_split(t: Tables) -> DataFrame:
 
 @query(
     """WITH k AS (SELECT DISTINCT lang, source FROM documents), r AS (SELECT lang, source, count(*) OVER (PARTITION BY lang) AS n, row_number() OVER (PARTITION BY lang ORDER BY md5('20260805/' || lang || '/' || source), source) AS r FROM k),
-s AS (SELECT d.lang, d.source, CASE WHEN n > 1 AND r <= greatest(1, CAST(round_even(n * (1 - 0.9), 0) AS INTEGER)) THEN 'eval' ELSE 'train' END AS split, count(*) AS c FROM documents d JOIN r USING (lang, source) GROUP BY ALL)
+s AS (SELECT d.lang, d.source, CASE WHEN n > 1 AND r <= greatest(1, CAST(round_even(n * (1 - CAST(0.9 AS DOUBLE)), 0) AS INTEGER)) THEN 'eval' ELSE 'train' END AS split, count(*) AS c FROM documents d JOIN r USING (lang, source) GROUP BY ALL)
 SELECT coalesce(lang, 'TOTAL') AS lang, count(*) AS n_groups, count(*) FILTER (split = 'train') AS train_groups, count(*) FILTER (split = 'eval') AS eval_groups, CAST(coalesce(sum(c) FILTER (split = 'train'), 0) AS BIGINT) AS train_rows, CAST(coalesce(sum(c) FILTER (split = 'eval'), 0) AS BIGINT) AS eval_rows
 FROM s GROUP BY ROLLUP (lang)"""
 )
@@ -345,8 +345,10 @@ def cer_classes(t: Tables) -> DataFrame:
 
 @query()
 def confusion_top(t: Tables) -> DataFrame:
-    """The 40 most frequent confusions of each language (a top-k report), by block alignment."""
-    ops = _titles(t).withColumn("ops", M.align_ops("truth", "found"))
+    """The 40 most frequent confusions of each language (a top-k report), by block alignment: headings against their folded form."""
+    part = F.regexp_extract("html", r"(?s)<h1>(.*?)</h1>", 1)
+    rows = t.pages.select(F.regexp_extract("html", '<html lang="([a-z]+)"', 1).alias("lang"), part.alias("truth"), F.translate(part, _FROM, _TO).alias("found"))
+    ops = rows.withColumn("ops", M.align_ops("truth", "found"))
     pairs = ops.select("lang", F.explode(M.confusions(F.col("truth"), F.col("found"), F.col("ops"))).alias("p")).groupBy("lang", "p.truth_char", "p.found_char").agg(F.count("*").alias("n"))
     w = W.partitionBy("lang").orderBy(F.col("n").desc(), "truth_char", "found_char")
     ranked = pairs.withColumn("rank", F.row_number().over(w)).where("rank <= 40")

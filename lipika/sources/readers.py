@@ -16,7 +16,7 @@ from lipika.functions.text import SPACE, strip, text_lines, wikitext_sentences
 
 def text_files(spark: SparkSession, path: str, pattern: str = "*.txt") -> DataFrame:
     """``file, modified, size, text`` of whole files, folders included."""
-    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).option("wholetext", True).text(path)
+    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).text(path, wholetext=True)
     return files.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_modification_time").alias("modified"), F.col("_metadata.file_size").alias("size"), F.col("value").alias("text"))
 
 

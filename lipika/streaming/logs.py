@@ -46,8 +46,17 @@ def drained(stream: DataFrame, directory: str, mode: str = "complete") -> DataFr
 
 
 def event_stream(spark: SparkSession, path: str) -> DataFrame:
-    """The events of a Parquet table as a stream."""
-    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    """The events of a Parquet table as a stream; a table of a single file is found in its folder.
+
+    Event times without a zone are taken in the session's, since watermarks need instants.
+    """
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    if place.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(place).isFile():
+        stream = reader.option("pathGlobFilter", place.getName()).parquet(place.getParent().toString())
+    else:
+        stream = reader.parquet(path)
+    return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 def counts_by(events: DataFrame, key: str) -> DataFrame:

@@ -59,7 +59,7 @@ def test_verses(spark):
 
 def test_noise(spark):
     raw = "ಬೇ೦ಟಿ <ch>x</ch> ।॥ ०९ (ಕ) + 'q' \"r\" ʼ"
-    assert apply(spark, [raw], X.strip_noise) == ["ಬೇಂಟಿ x      q r "]
+    assert apply(spark, [raw], X.strip_noise) == ["ಬೇಂಟಿ x     q r "]
     assert apply(spark, ["<b>", "।", "४", "(ಕ)", "+", '"', "￼", "೦", "ʼ", "plain"], X.has_noise) == [True] * 7 + [False] * 3
     assert apply(spark, ["a+  b \n\n 'c'\n"], X.strip_noise_lines) == ["a b\n\nc\n"]
     assert apply(spark, ["  a+  b \n"], X.strip_noise_page) == ["a b \n".replace(" \n", "\n")]
