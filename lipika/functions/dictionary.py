@@ -13,7 +13,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lipika.functions.text import VIRAMA, characters
+from lipika.functions.text import VIRAMA, bound, characters
 
 #: A dictionary beyond so many units isn't compiled into a pattern.
 MOST_UNITS = 50_000
@@ -53,8 +53,8 @@ class Dictionary:
 
     def failure_offset(self, c: Column) -> Column:
         """Characters before the first failure; null where there is none."""
-        done = F.length(F.array_join(self.segments(c), ""))
-        return F.when(done < F.length(c), done) if self.units else F.lit(None).cast("int")
+        done = F.length(F.regexp_extract(c, rf"\A(?:{self.alternation()})*+", 0))
+        return bound(done, lambda d: F.when(d < F.length(c), d)) if self.units else F.lit(None).cast("int")
 
     def first_failure(self, c: Column, letters: str = "\u0c80-\u0cff", signs: str = "\u0cbe-\u0ccc") -> Column:
         """The whole cluster around the first failure: back over a virama and its base, on over viramas and signs."""

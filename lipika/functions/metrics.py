@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lipika.functions.text import SPACE, escape_html, strip
+from lipika.functions.text import SPACE, bound, escape_html, strip
 
 
 def _collapsed(c: Column) -> Column:
@@ -19,19 +19,19 @@ def _collapsed(c: Column) -> Column:
 def cer(truth: Column, found: Column) -> Column:
     """Character error rate without blanks, at most 1; 0 for an empty reference."""
     t, f = F.replace(truth, F.lit(" "), F.lit("")), F.replace(found, F.lit(" "), F.lit(""))
-    return F.when(F.length(t) == 0, 0.0).otherwise(F.least(F.levenshtein(t, f) / F.length(t), F.lit(1.0)))
+    return bound(t, lambda t: F.when(F.length(t) == 0, 0.0).otherwise(F.least(F.levenshtein(t, f) / F.length(t), F.lit(1.0))))
 
 
 def cer_review(truth: Column, found: Column) -> Column:
     """With single blanks, at most 1; for an empty reference 1 if anything was found."""
     t, f = _collapsed(truth), _collapsed(found)
-    return F.when(F.length(t) == 0, F.when(F.length(f) > 0, 1.0).otherwise(0.0)).otherwise(F.least(F.levenshtein(t, f) / F.length(t), F.lit(1.0)))
+    return bound(t, lambda t: F.when(F.length(t) == 0, F.when(F.length(f) > 0, 1.0).otherwise(0.0)).otherwise(F.least(F.levenshtein(t, f) / F.length(t), F.lit(1.0))))
 
 
 def cer_percent(truth: Column, found: Column) -> Column:
     """With single blanks, per cent to one place, without a limit; 0 for an empty reference."""
     t, f = _collapsed(truth), _collapsed(found)
-    return F.when(F.length(t) == 0, 0.0).otherwise(F.round(F.levenshtein(t, f) / F.length(t) * 100, 1))
+    return bound(t, lambda t: F.when(F.length(t) == 0, 0.0).otherwise(F.round(F.levenshtein(t, f) / F.length(t) * 100, 1)))
 
 
 def word_distance(a: Column, b: Column) -> Column:
@@ -58,8 +58,8 @@ def words(c: Column) -> Column:
 
 def wer(truth: Column, found: Column) -> Column:
     """Word error rate, at most 1; 0 for a reference without words."""
-    t, f = words(truth), words(found)
-    return F.when(F.size(t) == 0, 0.0).otherwise(F.least(word_distance(t, f) / F.size(t), F.lit(1.0)))
+    both = F.struct(words(truth).alias("t"), words(found).alias("f"))
+    return bound(both, lambda x: F.when(F.size(x["t"]) == 0, 0.0).otherwise(F.least(word_distance(x["t"], x["f"]) / F.size(x["t"]), F.lit(1.0))))
 
 
 def error_class(c: Column) -> Column:

@@ -7,6 +7,7 @@ Patterns that also run in the SQL oracles stay within what RE2 and Java read ali
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 from functools import reduce
 
 import pandas as pd
@@ -21,6 +22,11 @@ SPACE = r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]
 VIRAMA, ZWNJ, ZERO, ANUSVARA = "\u0ccd", "\u200c", "\u0ce6", "\u0c82"
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def strip(c: Column) -> Column:
     """Without Unicode white space at both ends."""
     return F.regexp_replace(c, rf"^{SPACE}+|{SPACE}+$", "")
@@ -33,17 +39,22 @@ def replace_all(c: Column, *steps: tuple[str, str]) -> Column:
 
 def text_lines(c: Column) -> Column:
     """Lines of a text; like ``splitlines``, a line end at the very end begins no further line."""
-    whole = F.split(c, r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]", -1)
-    last = F.element_at(whole, -1)
-    return F.when(c.isNull() | (c == ""), F.array().cast("array<string>")).when(last == "", F.slice(whole, F.lit(1), F.size(whole) - 1)).otherwise(whole)
+    whole = F.split(F.coalesce(c, F.lit("")), r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]", -1)
+    return bound(whole, lambda w: F.when(F.element_at(w, -1) == "", F.slice(w, F.lit(1), F.size(w) - 1)).otherwise(w))
 
 
 def clean_line(c: Column, profile: ScriptProfile) -> Column:
     """Tags to spaces; urls, ``[n]`` and heading marks out; only the script and the kept characters; single spaces."""
-    kept = replace_all(c, (r"<[^>]+>", " "), (r"https?://\S+", ""), (r"\[\d+\]", ""), (r"^[=*#\s]+", ""), (r"[=*#]+$", ""), (rf"[^{profile.keep}{profile.letters}]", ""))
+    # most lines lack what a step looks for, and a search for plain text is far cheaper than a pattern
+    has = lambda text: lambda x: x.contains(text)
+    first = lambda x: F.substring(x, 1, 1).rlike(r"[=*#\s]")
+    last = lambda x: x.endswith("=") | x.endswith("*") | x.endswith("#")
+    steps = [(has("<"), r"<[^>]+>", " "), (has("http"), r"https?://\S+", ""), (has("["), r"\[\d+\]", ""), (first, r"^[=*#\s]+", ""), (last, r"[=*#]+$", "")]
+    line = reduce(lambda x, s: bound(x, lambda v: F.when(s[0](v), F.regexp_replace(v, s[1], s[2])).otherwise(v)), steps, c)
+    line = F.regexp_replace(line, rf"[^{profile.keep}{profile.letters}]+", "")
     if profile.assigned != f"[{profile.letters}]":
-        kept = F.regexp_replace(kept, rf"[{profile.letters}&&[^{profile.assigned}]]", "")
-    return F.trim(F.regexp_replace(kept, " +", " "))
+        line = F.regexp_replace(line, rf"[{profile.letters}&&[^{profile.assigned}]]", "")
+    return F.trim(bound(line, lambda v: F.when(v.contains("  "), F.regexp_replace(v, " +", " ")).otherwise(v)))
 
 
 def script_count(c: Column, profile: ScriptProfile, assigned: bool = True) -> Column:
@@ -53,7 +64,7 @@ def script_count(c: Column, profile: ScriptProfile, assigned: bool = True) -> Co
 
 def script_ratio(c: Column, profile: ScriptProfile) -> Column:
     """Share of the script's block among all characters; 0 for an empty text."""
-    return F.coalesce(script_count(c, profile, assigned=False) / F.nullif(F.length(c), F.lit(0)), F.lit(0.0))
+    return bound(c, lambda x: F.coalesce(script_count(x, profile, assigned=False) / F.nullif(F.length(x), F.lit(0)), F.lit(0.0)))
 
 
 def script_only(c: Column, profile: ScriptProfile) -> Column:
@@ -187,8 +198,8 @@ def split_at_boundary(c: Column, longest: int = 80) -> Column:
             .cast(_PARTS)
         )
 
-    folded = F.aggregate(F.split(c, " ", -1), start, step, lambda a: F.concat(a["done"], F.array(a["cur"])))
-    return F.when(F.length(c) <= longest, F.array(c)).otherwise(folded)
+    fold = lambda x: F.aggregate(F.split(x, " ", -1), start, step, lambda a: F.concat(a["done"], F.array(a["cur"])))
+    return bound(c, lambda x: F.when(F.length(x) <= longest, F.array(x)).otherwise(fold(x)))
 
 
 def pack_bytes(c: Column, most: int = 1000) -> Column:
@@ -209,15 +220,15 @@ def pack_bytes(c: Column, most: int = 1000) -> Column:
 
 def box_lines(c: Column, width: Column, height: Column, most: int = 1000) -> Column:
     """Box-file lines of a text: one for each chunk, with a space after all but the last."""
-    chunks = pack_bytes(c, most)
-    return F.transform(chunks, lambda x, i: F.concat(F.lit("WordStr 0 0 "), width.cast("string"), F.lit(" "), height.cast("string"), F.lit(" 0 #"), x, F.when(i < F.size(chunks) - 1, " ").otherwise("")))
+    head = F.concat(F.lit("WordStr 0 0 "), width.cast("string"), F.lit(" "), height.cast("string"), F.lit(" 0 #"))
+    return bound(pack_bytes(c, most), lambda chunks: F.transform(chunks, lambda x, i: F.concat(head, x, F.when(i < F.size(chunks) - 1, " ").otherwise(""))))
 
 
 def paragraphs(c: Column) -> Column:
     """Runs of non-blank lines, each line stripped."""
     lines = F.transform(text_lines(c), strip)
     joined = F.regexp_replace(F.array_join(lines, "\n"), r"^\n+|\n+$", "")
-    return F.when(joined == "", F.array().cast("array<string>")).otherwise(F.split(joined, r"\n{2,}"))
+    return bound(joined, lambda x: F.when(x == "", F.array().cast("array<string>")).otherwise(F.split(x, r"\n{2,}")))
 
 
 def pack_pages(items: Column, budget: int = 900, joint: str = "\n\n") -> Column:

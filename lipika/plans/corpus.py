@@ -24,7 +24,9 @@ def lines(t: Tables) -> DataFrame:
 
 
 def cleaned(t: Tables) -> DataFrame:
-    return lines(t).withColumn("line", X.clean_line(F.col("line"), LATIN))
+    # cleaned within the generator: a filter on the line then uses it, and doesn't clean again
+    clean = F.transform(X.text_lines(F.col("text")), lambda x: X.clean_line(x, LATIN))
+    return O.positions(t.documents.select("doc_id", "lang", "source", "text"), clean).drop("text")
 
 
 def kept(t: Tables) -> DataFrame:
@@ -188,8 +190,9 @@ SELECT bad, count(*) AS n_words, arg_min(word, place) AS example FROM g GROUP BY
 )
 def unencodable_words(t: Tables) -> DataFrame:
     """The characters at which words first fail, how often, and the first such word."""
-    word = kept(t).select("pos", F.posexplode(F.split("line", " ")).alias("i", "word")).withColumn("done", Dictionary(UNITS).failure_offset(F.col("word"))).where("done is not null")
-    word = word.select(F.substring("word", F.col("done") + 1, F.lit(1)).alias("bad"), "word", (F.col("pos") * O.LINES + F.col("i")).alias("at"))
+    found = F.transform(F.split("line", " "), lambda w, i: F.struct(w.alias("word"), i.alias("i"), Dictionary(UNITS).failure_offset(w).alias("done")))
+    word = kept(t).select("pos", F.explode(F.filter(found, lambda x: x["done"].isNotNull())).alias("x"))
+    word = word.select(F.substring("x.word", F.col("x.done") + 1, F.lit(1)).alias("bad"), F.col("x.word").alias("word"), (F.col("pos") * O.LINES + F.col("x.i")).alias("at"))
     return word.groupBy("bad").agg(F.count("*").alias("n_words"), F.min_by("word", "at").alias("example"))
 
 

@@ -193,7 +193,7 @@ def stream_running_best(t: Tables) -> DataFrame:
     return S.drained(S.running_best(progress), _folder(t))
 
 
-@query("SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL")
+@query("SELECT CAST(date_trunc('hour', ts) AS VARCHAR) AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL")
 def stream_tumbling(t: Tables) -> DataFrame:
     """Hourly counts of event time under a watermark (an extension)."""
     rows = S.drained(S.tumbling(S.event_stream(t.spark, f"{t.folder}/events.parquet")), _folder(t))

@@ -122,13 +122,13 @@ def checkpoint_files(files: DataFrame, prefix: str) -> DataFrame:
     return files.where(name.rlike(pattern)).select("file", part(1, "double").alias("bcer"), part(2, "long").alias("samples"), part(3, "long").alias("iter"), *rest)
 
 
-PROGRESS = r"At iteration (\d+)/(\d+)/(\d+).*?BCER train=([\d.]+)%"
+PROGRESS = r"At iteration ([0-9]+)/([0-9]+)/[0-9]+.*?BCER train=([0-9.]+)%"
 
 
 def training_progress(line: Column) -> Column:
     """``(iter, samples, bcer)`` of a log line that reports progress, else null."""
     part = lambda n, kind: F.regexp_extract(line, PROGRESS, n).cast(kind)
-    return F.when(line.rlike(PROGRESS), F.struct(part(1, "long").alias("iter"), part(2, "long").alias("samples"), part(4, "double").alias("bcer")))
+    return F.when(line.rlike(PROGRESS), F.struct(part(1, "long").alias("iter"), part(2, "long").alias("samples"), part(3, "double").alias("bcer")))
 
 
 def progress_or_log(checkpoints: DataFrame, log: DataFrame) -> DataFrame:

@@ -9,9 +9,9 @@ from lipika.functions import metrics as M
 
 
 def distance(a, b):
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        row, before = [i], row
+    row = [*range(1 + len(b))]
+    for number, x in enumerate(a, 1):
+        row, before = [number], row
         for j, y in enumerate(b, 1):
             row.append(min(before[j - 1] + (x != y), before[j] + 1, row[-1] + 1))
     return row[-1]

@@ -96,7 +96,7 @@ def test_variants_pairs_images(spark, tmp_path):
 
 
 def test_history(spark, tmp_path):
-    (tmp_path / "h.json").write_text(json.dumps([{"ts": "2026-08-04T10:00:00Z", "label": "x", "overall": 36, "byCategory": {"vowel": 47, "digit": 25}, "correct": 31, "total": 86}]))
+    (tmp_path / "h.json").write_text(json.dumps([{"label": "x", "byCategory": {"digit": 25, "vowel": 47}, "total": 10, "correct": 4, "overall": 40, "ts": "2024-05-06T07:08:09Z"}]))
     history = R.run_history(spark, str(tmp_path / "h.json"))
     assert values(R.category_rows(history), "category", "percent") == [("digit", 25), ("vowel", 47)]
     rows = spark.createDataFrame([("v", True), ("v", False), ("v", True), ("d", False)], "category string, ok boolean")
