@@ -146,7 +146,7 @@ g AS (SELECT DISTINCT list, kind, value, TIMESTAMP '{START}' + to_days(CAST(d1 A
 h AS (SELECT DISTINCT url, t, list || ':' || kind || ':' || value AS hit FROM u JOIN g ON t >= a AND t < b AND
   ((kind = 'url' AND value = n) OR (kind = 'prefix' AND starts_with(regexp_extract(n, '^[^?]*') || '/', value)) OR (kind = 'domain' AND (regexp_extract(n, '^[^/?]*') = value OR ends_with(regexp_extract(n, '^[^/?]*'), '.' || value))))),
 r AS (SELECT url, t, count(*) AS n_hits, string_agg(hit, ',' ORDER BY hit) AS hits FROM h GROUP BY url, t)
-SELECT page_id, u.url, strftime(u.t, '%Y-%m-%d %H:%M:%S') AS fetched_at, r.hits IS NOT NULL AS blocked, CAST(coalesce(n_hits, 0) AS BIGINT) AS n_hits, coalesce(hits, '') AS hits
+SELECT page_id, u.url, CAST(u.t AS VARCHAR) AS fetched_at, r.hits IS NOT NULL AS blocked, CAST(coalesce(n_hits, 0) AS BIGINT) AS n_hits, coalesce(hits, '') AS hits
 FROM u LEFT JOIN r ON u.url = r.url AND u.t = r.t
 """
 
