@@ -42,12 +42,18 @@ FROM a LEFT JOIN b USING (source) LEFT JOIN c USING (source)"""
 )
 def corpus_line_stats(t: Tables) -> DataFrame:
     """Lines, usable lines and first occurrences of each source: the corpus build in one plan."""
-    rows = cleaned(t).withColumn("n", X.script_count(F.col("line"), LATIN))
+    counted = lambda x: X.bound(X.clean_line(x, LATIN), lambda v: F.struct(v.alias("line"), X.script_count(v, LATIN).alias("n")))
+    rows = O.positions(t.documents.select("doc_id", "source", "text"), F.transform(X.text_lines(F.col("text")), counted)).select("source", "pos", "line.line", "line.n")
+    # counts by line and source, then each line's sources side by side: its array is as long as there are sources
+    counts = rows.groupBy("line", "source").agg(F.count("*").alias("c"), F.min("pos").alias("pos"), F.max("n").alias("n"))
+    lines_ = counts.groupBy("line").agg(F.max("n").alias("n"), F.collect_list(F.struct("pos", "source", "c")).alias("of"))
+    each = lines_.select("line", "n", F.array_min("of")["pos"].alias("first"), F.explode("of").alias("x"))
     good = F.col("n") >= LATIN.min_letters
-    per_line = rows.groupBy("source").agg(F.count("*").alias("n_lines"), F.count_if(good).alias("n_kept"), F.coalesce(F.sum(F.when(good, F.length("line"))), F.lit(0)).alias("n_chars"))
-    firsts = rows.where(good).groupBy("line").agg(F.min_by("source", "pos").alias("source"), F.max("n").alias("n"))
-    unique = firsts.groupBy("source").agg(F.count("*").alias("n_unique"), F.sum("n").alias("n_letters"))
-    return per_line.join(unique, "source", "left").na.fill(0, ["n_unique", "n_letters"])
+    first = good & (F.col("x.pos") == F.col("first"))
+    total = lambda value: F.coalesce(F.sum(value), F.lit(0)).cast("long")
+    return each.groupBy(F.col("x.source").alias("source")).agg(
+        F.sum("x.c").alias("n_lines"), total(F.when(good, F.col("x.c"))).alias("n_kept"), total(F.when(good, F.col("x.c") * F.length("line"))).alias("n_chars"), F.count_if(first).alias("n_unique"), total(F.when(first, F.col("n"))).alias("n_letters")
+    )
 
 
 @query(f"WITH {Q.LINES} SELECT doc_id, pos, line FROM lines")
