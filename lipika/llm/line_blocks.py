@@ -25,11 +25,13 @@ WINDOW, SURGE, SHARE = 3, 80, 0.25
 #: What a line inside an article element weighs besides its text.
 ARTICLE = SURGE
 
-_RAW = "script|style|noscript|template|svg|math|iframe|object|canvas|textarea|title|select|audio|video"
 _MARKUP = re.compile(
-    rf"<!--(?:.*?-->|.*+)|<({_RAW})\b[^>]*+>(?:.*?</\1\s*+>|.*+)|<!\[CDATA\[.*?\]\]>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>|<[!?/][^>]*+>",
+    r"<!--(?:-?>|.*?--!?>|.*+)|<(script|style|textarea|title)(?=[\s/>])[^>]*+(?<!/)>(?:.*?</\1(?=[\s/>])[^>]*+>|.*+)|<!\[CDATA\[.*?\]\]>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>|<[!?/][^>]*+>",
     re.S | re.I,
 )
+#: Skipped with what is in them, where they are closed; an unclosed one is only a tag.
+_SKIPPED = frozenset("noscript template svg math iframe object canvas select audio video".split())
+_FOREIGN = frozenset(("svg", "math"))
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _LOOSE = frozenset("p li dt dd td th tr thead tbody tfoot colgroup option optgroup".split())
@@ -61,6 +63,22 @@ def _unwanted(name: str, attributes: str, inside: bool) -> bool:
     return False
 
 
+def _skipped(tags: list[re.Match]) -> dict[int, int]:
+    """Where each skipped element begins and ends among ``tags``; nested ones are matched, unclosed ones left out."""
+    open_: dict[str, list[int]] = {}
+    ends: dict[int, int] = {}
+    for i, m in enumerate(tags):
+        name = (m[3] or "").lower()
+        if name not in _SKIPPED:
+            continue
+        if m[2]:
+            if open_.get(name):
+                ends[open_[name].pop()] = i
+        elif not (name in _FOREIGN and m[4].endswith("/")):
+            open_.setdefault(name, []).append(i)
+    return ends
+
+
 def lines(page: str) -> list[tuple[str, int, bool, bool]]:
     """The page's lines in order: text, characters in links, inside an article element, unwanted."""
     out: list[tuple[str, int, bool, bool]] = []
@@ -85,8 +103,13 @@ def lines(page: str) -> list[tuple[str, int, bool, bool]]:
             if link:
                 linked += len(t)
 
-    at = 0
-    for m in _MARKUP.finditer(page):
+    tags = list(_MARKUP.finditer(page))
+    skipped = _skipped(tags)
+    at, skip = 0, -1
+    for i, m in enumerate(tags):
+        if i <= skip:
+            at = m.end()
+            continue
         text(page[at : m.start()])
         at = m.end()
         if m[0].startswith("<![CDATA["):
@@ -97,6 +120,10 @@ def lines(page: str) -> list[tuple[str, int, bool, bool]]:
                 flush()
             continue
         name, closing = m[3].lower(), bool(m[2])
+        if name in _SKIPPED:
+            flush()
+            skip = skipped.get(i, skip)
+            continue
         if name == "a":
             link = 0 if closing else 1
         if name in _INLINE:

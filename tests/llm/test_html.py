@@ -32,6 +32,18 @@ def test_odd_pages():
     assert B.main_text(f"<nav><ul><li>menu<article><p>{LONG}</p></article>") == LONG
 
 
+def test_raw_elements_end():
+    for tag in ("<svg-icon name='x'></svg-icon>", "<video-player src=x></video-player>", "<select-box>", "<svg class='icon'/>", "<math/>", "<svg><title/><path d='z'/></svg>", "<svg><svg>a</svg>b</svg>", "<svg class='icon-search'>", "<iframe src=x>", "<!-->", "<script>a</script >"):
+        assert B.main_text(f"<article><p>One.</p>{tag}<p>Two, the rest.</p></article>") == "One. Two, the rest.", tag
+    assert B.main_text("<article><p>One.</p><svg-icon></svg-icon><p>Two.</p><svg><text>x</text></svg><p>Three.</p></article>") == "One. Two. Three."
+    assert B.main_text("<article><p>One.</p><video src=x><p>Two.</p><video>old browser</video><p>Three.</p></article>") == "One. Two. Three."
+    assert B.main_text("<article><p>One.</p><style>never closed <p>Two.</p></article>") == "One."
+
+
+def test_unclosed_skipped_elements_take_linear_time():
+    B.main_text("<article>" + "<svg>" * 100_000 + LONG)
+
+
 def test_long_pages_take_linear_time():
     assert len(B.main_text("<article><p>" + "word " * 400_000 + "</p></article>")) == 5 * 400_000 - 1
     B.main_text("<div " * 100_000)
