@@ -2,8 +2,8 @@
 
 Markup is stripped into lines, one for each block of the page, in order. A line weighs what
 it has of text outside links; lines of menus, page headers and footers, sidebars, notices,
-adverts, forms and reader comments weigh nothing, and so does, on a page with an article
-element, all that is outside it. Weights are summed over a sliding window of lines; where
+adverts, forms and reader comments weigh nothing, and a line inside an article element
+weighs more. Weights are summed over a sliding window of lines; where
 the sum surges a stretch begins, where it dives to nothing the stretch ends, and the text
 between surge and dive is kept.
 """
@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -42,25 +43,75 @@ _NAMES = re.compile(
     r"|cookies?|consent|gdpr|notices?|alerts?|popups?|modals?|overlays?|newsletters?|subscribe|subscription|signup|login|forms?|search|comments?|commentlist|disqus|respond|replies|reply|shar(?:e|ing)|social|related|recommended|widgets?|pagination|pager|copyright|legal)(?![a-z0-9])"
 )
 _OWN = re.compile(r"(?<![a-z0-9])(?:article|entry|post|content|story|main|body)(?![a-z0-9])")
+#: A whole class that names boilerplate, also where it stands on an article element or in one.
+_PARTS = re.compile(
+    r"(?:(?:post|entry|article|page|inline|js)-)?(?:ads?|adverts?|advertisements?|advertising|adsense|adsbygoogle|sponsor(?:ed|s)?|promos?|promotions?|banners?|menus?|navs?|navbar|navigation|breadcrumbs?|sidebars?|aside|footers?|toolbar|cookies?|consent|gdpr|popups?|modals?|overlays?"
+    r"|newsletters?|subscribe|subscription|signup|login|search|searchform|comments?|commentlist|disqus|respond|replies|reply|shar(?:e|ing)|sharedaddy|social|related|relatedposts|recommended|widgets?|pagination|pager|copyright)"
+    r"(?:-(?:lists?|areas?|body|content|forms?|box|buttons?|links?|icons?|bar|block|container|wrapper|wrap|section|items?|posts?|articles?|stories|slot|unit|label|widget|inner|thread|respond|notice|banner|signup|menu|[0-9]+))*"
+)
+#: Names of an element around articles that are reader comments or point to other pages; not of a layout ("has-comments").
+_OTHERS = re.compile(r"(?<![a-z0-9])(?<!no-)(?<!has-)(?<!with-)(?:comments?|commentlist|disqus|respond|replies|related|recommended)(?![a-z0-9])(?!-(?:open|closed|enabled|disabled|on|off))")
+#: Classes of article elements that only point to another page: no weight is added in them.
+_TEASER = re.compile(r"(?:[a-z0-9]+-)*(?:teaser|card|preview|tile)s?(?:-[a-z0-9]+)*")
 _ATTRIBUTE = re.compile(r"""(?<![^\s"'])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog alertdialog menu menubar toolbar".split())
 
 
-def _unwanted(name: str, attributes: str, inside: bool) -> bool:
-    """Whether an element is no part of an article; ``inside``: it stands in an article element."""
+def _classes(attributes: str) -> list[str]:
+    return [c.replace("_", "-") for key, value in _ATTRIBUTE.findall(attributes) if key.lower() == "class" for c in value.strip("\"'").lower().split()]
+
+
+def _unwanted(name: str, attributes: str, inside: bool) -> int:
+    """Whether an element is no part of an article: 0 no, 1 unless it holds an article element, 2 with those in it; ``inside``: it stands in one."""
     if name in _DROPPED or name == "header" and not inside:
-        return True
-    if not attributes or name in ("html", "body") or name in _MAIN:
-        return False
+        return 2 if name in ("nav", "footer", "aside") else 1
+    if not attributes or name in ("html", "body", "main"):
+        return 0
+    if name == "article":
+        return 2 if any(map(_PARTS.fullmatch, _classes(attributes))) else 0
+    worst = 0
     for key, value in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), value.strip("\"'").lower()
         if key in ("class", "id"):
-            value = re.sub(r"[_\s]+", "-", value)
+            parts = value.replace("_", "-").split()
+            value = "-".join(parts)
             if _NAMES.search(value) and not (inside and _OWN.search(value) and re.search(r"header|banner|promo", value)):
-                return True
-        elif key == "role" and value in _ROLES or key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
-    return False
+                worst = max(worst, 2 if _OTHERS.search(value) or any(map(_PARTS.fullmatch, parts)) and not _OWN.search(value) else 1)
+        elif key == "role" and value in _ROLES:
+            worst = max(worst, 2 if value in ("navigation", "contentinfo", "complementary") else 1)
+        elif key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
+            worst = max(worst, 1)
+    return worst
+
+
+def _nesting(tags: list[re.Match]) -> tuple[set[int], set[int]]:
+    """The tags whose element has an end tag of its own, and those whose element holds an article that isn't boilerplate."""
+    closed: set[int] = set()
+    holding: set[int] = set()
+    stack: list[tuple[str, int]] = []
+    count: Counter[str] = Counter()
+    for i, m in enumerate(tags):
+        name = (m[3] or "").lower()
+        if not name or name in _INLINE or name in _VOID or name in _SKIPPED or m[4].endswith("/"):
+            continue
+        if not m[2]:
+            if name in _LOOSE and stack and stack[-1][0] == name:
+                count[stack.pop()[0]] -= 1
+            if name == "main" or name == "article" and not _unwanted(name, m[4], False):
+                for _, k in reversed(stack):
+                    if k in holding:
+                        break
+                    holding.add(k)
+            stack.append((name, i))
+            count[name] += 1
+        elif count[name] and (name not in _LOOSE or stack[-1][0] == name):
+            while True:
+                top, k = stack.pop()
+                count[top] -= 1
+                if top == name:
+                    closed.add(k)
+                    break
+    return closed, holding
 
 
 def _skipped(tags: list[re.Match]) -> dict[int, int]:
@@ -83,15 +134,15 @@ def lines(page: str) -> list[tuple[str, int, bool, bool]]:
     """The page's lines in order: text, characters in links, inside an article element, unwanted."""
     out: list[tuple[str, int, bool, bool]] = []
     parts: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []  # open elements: name, begins what is unwanted, article
-    bad = main = link = linked = 0
+    stack: list[list] = []  # open elements: name, begins what is unwanted, article, adds weight, has an end tag
+    bad = main = more = link = linked = 0
 
     def flush() -> None:
         nonlocal linked
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                out.append((text, linked, main > 0, bad > 0))
+                out.append((text, linked, more > 0, bad > 0))
             parts.clear()
         linked = 0
 
@@ -105,6 +156,7 @@ def lines(page: str) -> list[tuple[str, int, bool, bool]]:
 
     tags = list(_MARKUP.finditer(page))
     skipped = _skipped(tags)
+    closed, holding = _nesting(tags)
     at, skip = 0, -1
     for i, m in enumerate(tags):
         if i <= skip:
@@ -129,7 +181,7 @@ def lines(page: str) -> list[tuple[str, int, bool, bool]]:
         if name in _INLINE:
             if not closing and name not in _VOID and _unwanted(name, m[4], main > 0):
                 flush()
-                stack.append((name, True, False))
+                stack.append([name, True, False, False, True])
                 bad += 1
             elif closing and stack and stack[-1][0] == name:
                 flush()
@@ -139,7 +191,7 @@ def lines(page: str) -> list[tuple[str, int, bool, bool]]:
         link = 0
         if name in _VOID or m[4].endswith("/"):
             continue
-        unwanted = not closing and _unwanted(name, m[4], main > 0)
+        unwanted = not closing and _unwanted(name, m[4], main > 0) > (i in holding)
         if name in _LOOSE and not unwanted and not (closing and any(s[0] == name for s in stack)):
             continue
         if closing:
@@ -148,18 +200,20 @@ def lines(page: str) -> list[tuple[str, int, bool, bool]]:
                     top = stack.pop()
                     bad -= top[1]
                     main -= top[2]
+                    more -= top[3]
                     if top[0] == name:
                         break
             continue
-        if name in _MAIN and bad:  # an article can't be in a menu: what is open there was never closed
-            kept = next((k for k, s in enumerate(stack) if s[1]), len(stack))
-            if not main:
-                for top in stack[kept:]:
-                    bad -= top[1]
-                del stack[kept:]
-        stack.append((name, unwanted, name in _MAIN))
+        # an article in what was never closed doesn't belong to it; <main> belongs to nothing unwanted
+        if bad and not unwanted and (name == "main" or name == "article" and not any(x[1] and x[4] for x in stack)):
+            for x in stack:
+                x[1] = False
+            bad = 0
+        adds = name == "main" or name == "article" and not any(map(_TEASER.fullmatch, _classes(m[4])))
+        stack.append([name, unwanted, name in _MAIN, adds, i in closed or name in _LOOSE])
         bad += unwanted
         main += name in _MAIN
+        more += adds
     text(page[at:])
     flush()
     return out
@@ -168,26 +222,23 @@ def lines(page: str) -> list[tuple[str, int, bool, bool]]:
 def main_text(page: str | None) -> str:
     """The article of a page; null and empty pages, and pages without text, have none."""
     found = lines(page or "")
-    articles = any(x[2] and not x[3] for x in found)
-    weights = [0 if bad or (articles and not inside) else max(1, len(text) - linked) if inside and articles else max(0, len(text) - 2 * linked) for text, linked, inside, bad in found]
-    lift = [ARTICLE if w and articles else 0 for w in weights]
+    weights = [0 if bad else max(0, len(text) - 2 * linked) + ARTICLE * inside for text, linked, inside, bad in found]
     stretches: list[tuple[int, int, int]] = []
     k = 0
     while k < len(found):
         # surge: a window that starts with a line of weight reaches the sum
-        if not weights[k] or sum(weights[k : k + WINDOW]) + lift[k] < SURGE:
+        if not weights[k] or sum(weights[k : k + WINDOW]) < SURGE:
             k += 1
             continue
         begin = k
-        # dive: no weight in a whole window, or, between articles, the article's end
-        while k < len(found) and (any(weights[k : k + WINDOW]) if not articles else k < len(found)):
+        while k < len(found) and any(weights[k : k + WINDOW]):  # dive: no weight in a whole window
             k += 1
         stretches.append((sum(weights[begin:k]), begin, k))
     if not stretches and any(weights):  # only short lines: the heaviest run of them
         begin = next(i for i, w in enumerate(weights) if w)
         stretches.append((sum(weights), begin, len(found)))
     most = max((s[0] for s in stretches), default=0)
-    return " ".join(found[i][0] for size, a, b in stretches if size >= SHARE * most for i in range(a, b) if weights[i])
+    return " ".join(found[i][0] for size, a, b in stretches if size >= SHARE * most or any(x[2] and not x[3] for x in found[a:b]) for i in range(a, b) if weights[i])
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -32,6 +32,21 @@ def test_odd_pages():
     assert B.main_text(f"<nav><ul><li>menu<article><p>{LONG}</p></article>") == LONG
 
 
+def test_an_article_element_is_judged_and_only_adds_weight():
+    reader = "<li class='comment'><article class='comment-body'><p>A reader says this, and says it at some length, so that it weighs.</p></article></li>"
+    assert B.main_text(f"<div class='entry-content'><p>{LONG}</p><p>{OTHER}</p></div><ol class='comment-list'>{reader}{reader}</ol>") == f"{LONG} {OTHER}"
+    assert B.main_text("<div class='entry-content'><p>main text</p></div><ol class='comment-list'><li class='comment'><article class='comment-body'><p>reader</p></article></li></ol>") == "main text"
+    plain = "<article><p>A reader says this, and says it at some length.</p></article>"
+    assert B.main_text(f"<div><p>{LONG}</p></div><section class='blog-comments'>{plain}</section><aside>{plain}</aside><div class='related'>{plain}</div>") == LONG
+    assert B.main_text(f"<div><p>{LONG}</p><p>{OTHER}</p></div><div><article class='card'><a href=x>Another page of this site</a></article></div>") == f"{LONG} {OTHER}"
+    # text outside an article isn't lost, nor an article in a layout whose name holds a listed word
+    assert B.main_text(f"<div><p>{LONG}</p></div><article><p>{OTHER}</p></article>") == f"{LONG} {OTHER}"
+    for layout in ("div class='page has-sidebar'", "div class='header-fixed'", "div id='comments-open'", "form id='aspnet'"):
+        assert B.main_text(f"<{layout}><h1>Title</h1><article><h2>Head</h2><p>{LONG}</p></article></{layout.split()[0]}>") == f"Title Head {LONG}"
+    assert B.main_text(f"<article class='post category-legal tag-social'><p>{LONG}</p></article>") == LONG
+    assert B.main_text(f"<aside><div>x<main><p>{LONG}</p></main>") == LONG
+
+
 def test_raw_elements_end():
     for tag in ("<svg-icon name='x'></svg-icon>", "<video-player src=x></video-player>", "<select-box>", "<svg class='icon'/>", "<math/>", "<svg><title/><path d='z'/></svg>", "<svg><svg>a</svg>b</svg>", "<svg class='icon-search'>", "<iframe src=x>", "<!-->", "<script>a</script >"):
         assert B.main_text(f"<article><p>One.</p>{tag}<p>Two, the rest.</p></article>") == "One. Two, the rest.", tag
