@@ -2,10 +2,10 @@
 
 Markup is stripped into lines, one for each block of the page, in order. A line weighs what
 it has of text outside links; lines of menus, page headers and footers, sidebars, notices,
-adverts, forms and reader comments weigh nothing, and a line inside an article element
-weighs more. Weights are summed over a sliding window of lines; where
-the sum surges a stretch begins, where it dives to nothing the stretch ends, and the text
-between surge and dive is kept.
+adverts, forms and reader comments are left out first, and a line inside an article element
+weighs more. Weights are summed over a sliding window of lines; where the sum surges first
+the text begins, where it dives to nothing for the last time the text ends, and every line
+between is kept.
 """
 
 from __future__ import annotations
@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from lipika.llm._common import small_batches, table
 
-#: Lines of a window, the sum at which a stretch surges, and the least share of the longest stretch that another may have.
-WINDOW, SURGE, SHARE = 3, 80, 0.25
+#: Lines of a window, and the sum at which the text surges.
+WINDOW, SURGE = 3, 80
 #: What a line inside an article element weighs besides its text.
 ARTICLE = SURGE
 
@@ -36,7 +36,7 @@ _FOREIGN = frozenset(("svg", "math"))
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _LOOSE = frozenset("p li dt dd td th tr thead tbody tfoot colgroup option optgroup".split())
-_DROPPED = frozenset("nav footer aside form button dialog menu fieldset head".split())
+_DROPPED = frozenset("nav footer aside form button dialog menu fieldset".split())
 _MAIN = frozenset(("article", "main"))
 _NAMES = re.compile(
     r"(?<![a-z0-9])(?:ads?|adverts?|advertisements?|advertising|adsense|sponsor(?:ed|s)?|promos?|promotions?|banners?|menus?|nav|navs|navbar|navigation|breadcrumbs?|sidebars?|aside|footers?|header|masthead|topbar|toolbar"
@@ -221,24 +221,16 @@ def lines(page: str) -> list[tuple[str, int, bool, bool]]:
 
 def main_text(page: str | None) -> str:
     """The article of a page; null and empty pages, and pages without text, have none."""
-    found = lines(page or "")
-    weights = [0 if bad else max(0, len(text) - 2 * linked) + ARTICLE * inside for text, linked, inside, bad in found]
-    stretches: list[tuple[int, int, int]] = []
-    k = 0
-    while k < len(found):
-        # surge: a window that starts with a line of weight reaches the sum
-        if not weights[k] or sum(weights[k : k + WINDOW]) < SURGE:
-            k += 1
-            continue
-        begin = k
-        while k < len(found) and any(weights[k : k + WINDOW]):  # dive: no weight in a whole window
-            k += 1
-        stretches.append((sum(weights[begin:k]), begin, k))
-    if not stretches and any(weights):  # only short lines: the heaviest run of them
-        begin = next(i for i, w in enumerate(weights) if w)
-        stretches.append((sum(weights), begin, len(found)))
-    most = max((s[0] for s in stretches), default=0)
-    return " ".join(found[i][0] for size, a, b in stretches if size >= SHARE * most or any(x[2] and not x[3] for x in found[a:b]) for i in range(a, b) if weights[i])
+    found = [x for x in lines(page or "") if not x[3]]
+    weights = [max(0, len(text) - 2 * linked) + ARTICLE * inside for text, linked, inside, _ in found]
+    # surge: a window that starts with a line of weight reaches the sum; where only short lines are, each of weight is one
+    surges = [k for k, w in enumerate(weights) if w and sum(weights[k : k + WINDOW]) >= SURGE] or [k for k, w in enumerate(weights) if w]
+    if not surges:
+        return ""
+    end = surges[-1]
+    while any(weights[end : end + WINDOW]):  # dive: no weight in a whole window
+        end += 1
+    return " ".join(x[0] for x in found[surges[0] : end])
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -47,6 +47,21 @@ def test_an_article_element_is_judged_and_only_adds_weight():
     assert B.main_text(f"<aside><div>x<main><p>{LONG}</p></main>") == LONG
 
 
+def test_nothing_between_first_surge_and_last_dive_is_lost():
+    long = [f"Paragraph {k} " + "of three hundred characters or so goes on and on. " * 6 for k in range(12)]
+    long = [x.strip() for x in long]
+    p = [f"<p>{x}</p>" for x in long]
+    advert = "<div class='ad'><p>Buy</p><p>this</p><p>now</p><p>!</p></div>"
+    form = "<form><p>Your</p><p>name</p><p>here</p></form>"
+    links = "".join(f"<p><a href={k}>See also part {k}</a></p>" for k in range(5))
+    shown = " ".join(f"See also part {k}" for k in range(5))
+    for block, kept in ((advert, ""), (form, ""), (links, shown + " ")):
+        assert B.main_text(f"<div>{''.join(p[:10])}{block}{''.join(p[10:])}</div>") == f"{' '.join(long[:10])} {kept}{' '.join(long[10:])}"
+    assert B.main_text(f"<div>{''.join(p)}{advert}<p>The end.</p></div>") == f"{' '.join(long)} The end."
+    assert B.main_text(f"<div>{''.join(p)}{links}{p[0]}</div>{links}") == f"{' '.join(long)} {shown} {long[0]}"
+    assert B.main_text(f"<head><title>T</title><body><p>{LONG}</p>") == LONG
+
+
 def test_raw_elements_end():
     for tag in ("<svg-icon name='x'></svg-icon>", "<video-player src=x></video-player>", "<select-box>", "<svg class='icon'/>", "<math/>", "<svg><title/><path d='z'/></svg>", "<svg><svg>a</svg>b</svg>", "<svg class='icon-search'>", "<iframe src=x>", "<!-->", "<script>a</script >"):
         assert B.main_text(f"<article><p>One.</p>{tag}<p>Two, the rest.</p></article>") == "One. Two, the rest.", tag
