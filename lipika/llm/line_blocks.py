@@ -38,6 +38,8 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _LOOSE = frozenset("p li dt dd td th tr thead tbody tfoot colgroup option optgroup".split())
 _DROPPED = frozenset("nav footer aside form button dialog menu fieldset".split())
 _MAIN = frozenset(("article", "main"))
+#: What an id names in an article is boilerplate only on these; elsewhere ids are places to link to.
+_BOXES = frozenset(("div", "ol", "ul", "table"))
 _NAMES = re.compile(
     r"(?<![a-z0-9])(?:ads?|adverts?|advertisements?|advertising|adsense|sponsor(?:ed|s)?|promos?|promotions?|banners?|menus?|nav|navs|navbar|navigation|breadcrumbs?|sidebars?|aside|footers?|header|masthead|topbar|toolbar"
     r"|cookies?|consent|gdpr|notices?|alerts?|popups?|modals?|overlays?|newsletters?|subscribe|subscription|signup|login|forms?|search|comments?|commentlist|disqus|respond|replies|reply|shar(?:e|ing)|social|related|recommended|widgets?|pagination|pager|copyright|legal)(?![a-z0-9])"
@@ -75,7 +77,10 @@ def _unwanted(name: str, attributes: str, inside: bool) -> int:
         if key in ("class", "id"):
             parts = value.replace("_", "-").split()
             value = "-".join(parts)
-            if _NAMES.search(value) and not (inside and _OWN.search(value) and re.search(r"header|banner|promo", value)):
+            if inside:  # a listed word within a name, as in related-work, says nothing there
+                named = (key == "class" or name in _BOXES) and any(map(_PARTS.fullmatch, parts)) and not (_OWN.search(value) and re.search(r"banner|promo", value))
+                worst = 2 if named else worst
+            elif _NAMES.search(value):
                 worst = max(worst, 2 if _OTHERS.search(value) or any(map(_PARTS.fullmatch, parts)) and not _OWN.search(value) else 1)
         elif key == "role" and value in _ROLES:
             worst = max(worst, 2 if value in ("navigation", "contentinfo", "complementary") else 1)

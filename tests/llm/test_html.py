@@ -62,6 +62,15 @@ def test_nothing_between_first_surge_and_last_dive_is_lost():
     assert B.main_text(f"<head><title>T</title><body><p>{LONG}</p>") == LONG
 
 
+def test_inside_an_article_only_whole_classes_name_boilerplate():
+    for element in ("section id='related-work'", "section id='comments'", "section class='legal-basis'", "h2 id='search-trees'", "h2 id='search'", "span class='forms-of-energy'", "span id='sidebar'", "div class='social-impact'", "div id='search-trees'", "p class='notice'"):
+        name = element.split()[0]
+        assert B.main_text(f"<article><p>{LONG}</p><{element}>Kept text.</{name}><p>End.</p></article>") == f"{LONG} Kept text. End.", element
+    for element in ("div class='comments'", "div class='x share-buttons'", "div class='ad'", "section class='comments_area'", "span class='sponsored'", "div id='comments'", "ul class='related-posts'", "div role='search'"):
+        name = element.split()[0]
+        assert B.main_text(f"<article><p>{LONG}</p><{element}>Dropped text.</{name}><p>End.</p></article>") == f"{LONG} End.", element
+
+
 def test_raw_elements_end():
     for tag in ("<svg-icon name='x'></svg-icon>", "<video-player src=x></video-player>", "<select-box>", "<svg class='icon'/>", "<math/>", "<svg><title/><path d='z'/></svg>", "<svg><svg>a</svg>b</svg>", "<svg class='icon-search'>", "<iframe src=x>", "<!-->", "<script>a</script >"):
         assert B.main_text(f"<article><p>One.</p>{tag}<p>Two, the rest.</p></article>") == "One. Two, the rest.", tag
