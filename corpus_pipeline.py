@@ -33,8 +33,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of token ids at their slots of the training order."""
-    return training_order.sequences(docs)
+    """Sequences of token ids at their slots of the training order, written as shards."""
+    return training_order.shards_written(docs)
 
 
 STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("decontamination", decontamination), ("mix", mix), ("token_ids", token_ids)]

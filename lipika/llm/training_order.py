@@ -8,7 +8,8 @@ one slot. Ranges of slots are shards of a fixed stride: a reader finds slot ``s`
 ``s div S`` at byte ``(s mod S) * stride`` and resumes there.
 
 The ids are encoded once and stored with each row's place; only lengths are summed to find
-where a partition begins. The payload is shuffled once, to its shard. Repeating a lost task
+where a partition begins. The payload is shuffled once, to the range of shards
+that its task assembles and, where a directory is given, writes. Repeating a lost task
 gives the same bytes, since places come from the stored table.
 """
 
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lipika.llm._common import small_batches, stored, table
+from lipika.llm._common import shared_dir, small_batches, stored, table
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The pre-tokenisation of that byte-level BPE.
@@ -126,13 +128,41 @@ def _slicer(n_sequences: int, length: int, width: int, key: str):
     return cut
 
 
+class _Shards:
+    """Writes sequences in the order of slots as files ``shard-<number>.bin``: aside first, then moved into place."""
+
+    def __init__(self, directory: str) -> None:
+        from pyarrow import fs
+
+        self.files, self.root = fs.FileSystem.from_uri(directory) if "://" in directory else (fs.LocalFileSystem(), directory)
+        self.files.create_dir(self.root, recursive=True)
+        self.shard, self.stream, self.aside, self.count, self.size = None, None, "", 0, 0
+        self.done: list[tuple[int, int, int]] = []
+
+    def add(self, shard: int, raw: bytes, stride: int) -> None:
+        if shard != self.shard:
+            self.finish()
+            self.shard, self.count, self.size, self.aside = shard, 0, 0, f"{self.root}/.{uuid.uuid4().hex}"
+            self.stream = self.files.open_output_stream(self.aside)
+        self.stream.write(raw.ljust(stride, b"\0"))
+        self.count, self.size = self.count + 1, self.size + stride
+
+    def finish(self) -> None:
+        if self.shard is not None:
+            self.stream.close()
+            self.files.move(self.aside, f"{self.root}/shard-{self.shard:08d}.bin")
+            self.done.append((self.shard, self.count, self.size))
+            self.shard = None
+
+
 _SEQUENCE = "slot long, shard long, byte_offset long, seq long, n_tokens int, doc_ids array<long>, tokens binary"
 
 
-def _assembler(length: int, width: int, slots: int):
+def _assembler(length: int, width: int, slots: int, directory: str | None):
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: list[tuple] = []
         slot, seq, docs, parts = None, None, [], []
+        shards = None
 
         def out() -> pa.RecordBatch:
             columns = list(zip(*done, strict=True))
@@ -141,7 +171,11 @@ def _assembler(length: int, width: int, slots: int):
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[x.split()[0] for x in _SEQUENCE.split(", ")])
 
         def close() -> None:
+            nonlocal shards
             raw = b"".join(parts)
+            if directory:
+                shards = shards or _Shards(directory)
+                shards.add(slot // slots, raw, length * width)
             done.append((slot, slot // slots, slot % slots * length * width, seq, len(raw) // width, list(docs), raw))
 
         for batch in batches:
@@ -156,13 +190,15 @@ def _assembler(length: int, width: int, slots: int):
                     yield out()
         if slot is not None:
             close()
+        if shards:
+            shards.finish()
         if done:
             yield out()
 
     return assemble
 
 
-def sequences(docs: DataFrame, vocabulary: str = VOCABULARY, length: int = LENGTH, shard_slots: int = SHARD_SLOTS, key: str = KEY) -> DataFrame:
+def sequences(docs: DataFrame, vocabulary: str = VOCABULARY, length: int = LENGTH, shard_slots: int = SHARD_SLOTS, key: str = KEY, directory: str | None = None) -> DataFrame:
     """All sequences of the tokenised ``docs`` with their places in the training order.
 
     Returns ``slot, shard, byte_offset, seq, n_tokens, doc_ids, tokens``: ``tokens`` are
@@ -171,7 +207,8 @@ def sequences(docs: DataFrame, vocabulary: str = VOCABULARY, length: int = LENGT
     sequence of the stream is shorter than ``length``. Cases: null and empty texts have no
     tokens, nor a separator; null and repeated doc_ids are carried as they are; no tokens, no
     rows. Other columns are not read. Slots are the numbers from 0 up to the number of
-    sequences, each once.
+    sequences, each once. Partitions are ranges of whole shards; with ``directory``, a path or
+    URI that all executors share, the tasks that make the rows write them as ``write_shards`` does.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -184,8 +221,16 @@ def sequences(docs: DataFrame, vocabulary: str = VOCABULARY, length: int = LENGT
     # one row for each task that encoded: as many as a single stage has tasks
     placed = coded.where("n_tokens > 0").join(F.broadcast(offsets), "part").select("doc_id", (F.col("part_start") + F.col("place")).alias("start"), "ids")
     cut = placed.mapInArrow(_slicer(-(-total // length), length, width, key), "slot long, seq long, at int, doc_id long, ids binary")
-    ordered = cut.repartition(F.floor(F.col("slot") / shard_slots)).sortWithinPartitions("slot", "at")
-    return ordered.mapInArrow(_assembler(length, width, shard_slots), _SEQUENCE)
+    n_shards = max(1, -(-total // (length * shard_slots)))
+    ranges = min(n_shards, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    shard = F.floor(F.col("slot") / shard_slots)
+    ordered = cut.repartitionById(ranges, F.floor(shard * ranges / n_shards).cast("int")).sortWithinPartitions("slot", "at")
+    return ordered.mapInArrow(_assembler(length, width, shard_slots, directory), _SEQUENCE)
+
+
+def shards_written(docs: DataFrame) -> DataFrame:
+    """``sequences`` of ``docs``; the rows' tasks write the shards to a folder ``training-order-<id>`` of the shared one."""
+    return sequences(docs, directory=f"{shared_dir(docs.sparkSession)}/training-order-{uuid.uuid4().hex}")
 
 
 def write_shards(found: DataFrame, directory: str, length: int = LENGTH, shard_slots: int = SHARD_SLOTS) -> DataFrame:
@@ -197,31 +242,12 @@ def write_shards(found: DataFrame, directory: str, length: int = LENGTH, shard_s
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import uuid
-
-        from pyarrow import fs
-
-        files, root = fs.FileSystem.from_uri(directory) if "://" in directory else (fs.LocalFileSystem(), directory)
-        files.create_dir(root, recursive=True)
-        shard, stream, aside, count, size, done = None, None, "", 0, 0, []
-
-        def finish() -> None:
-            stream.close()
-            files.move(aside, f"{root}/shard-{shard:08d}.bin")
-            done.append((shard, count, size))
-
+        shards = _Shards(directory)
         for batch in batches:
             for number, n, raw in zip(*[batch.column(c).to_pylist() for c in ("shard", "n_tokens", "tokens")], strict=True):
-                if number != shard:
-                    if shard is not None:
-                        finish()
-                    shard, count, size, aside = number, 0, 0, f"{root}/.{uuid.uuid4().hex}"
-                    stream = files.open_output_stream(aside)
-                stride = len(raw) // n * length
-                stream.write(raw.ljust(stride, b"\0"))
-                count, size = count + 1, size + stride
-        if shard is not None:
-            finish()
+                shards.add(number, raw, len(raw) // n * length)
+        shards.finish()
+        done = shards.done
         yield pa.RecordBatch.from_arrays([pa.array([d[k] for d in done], pa.int64()) for k in range(3)], names=["shard", "n_slots", "n_bytes"])
 
     ordered = found.select("shard", "slot", "n_tokens", "tokens").repartition("shard").sortWithinPartitions("shard", "slot")
@@ -229,8 +255,8 @@ def write_shards(found: DataFrame, directory: str, length: int = LENGTH, shard_s
 
 
 def op5_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sequences of all documents at their slots."""
-    return sequences(table(spark, sf_dir, "documents"))
+    """Sequences of all documents at their slots, written as shards."""
+    return shards_written(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {"op5_training_order": op5_training_order}

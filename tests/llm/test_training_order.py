@@ -43,6 +43,20 @@ def test_round_trip(spark, tmp_path):
     assert not [p for p in (tmp_path / "out").iterdir() if p.name.startswith(".")]
 
 
+def test_query_writes_its_shards(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(O, "shared_dir", lambda _: f"file://{tmp_path}")
+    (tmp_path / "documents.parquet").mkdir()
+    text = "word and number %d " * 40_000
+    spark.createDataFrame([(1, text % ((7,) * 40_000)), (2, text % ((8,) * 40_000))], "doc_id long, text string").write.mode("overwrite").parquet(str(tmp_path / "documents.parquet"))
+    found = O.op5_training_order(spark, str(tmp_path))
+    slots = found.rdd.mapPartitions(lambda rows: [[r.slot for r in rows]]).filter(bool).collect()
+    assert len(slots) > 1 and sorted(slots) == sorted(slots, key=min) and sum(sorted(slots), []) == list(range(sum(map(len, slots))))
+    (out,) = tmp_path.glob("training-order-*")
+    for r in found.collect():
+        raw = (out / f"shard-{r.shard:08d}.bin").read_bytes()
+        assert raw[r.byte_offset : r.byte_offset + 2 * r.n_tokens] == bytes(r.tokens)
+
+
 def test_no_tokens(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert O.sequences(empty).count() == 0
