@@ -2,7 +2,7 @@
 
 Intermediates are Parquet tables in the folder that the session names in
 ``spark.checkpoint.dir``; every executor can read them again after another one is lost.
-Where the setting is absent (tests on one machine), a private folder is used.
+Where the setting is absent, a private folder is used on one machine, and a cluster is refused.
 """
 
 from __future__ import annotations
@@ -23,17 +23,25 @@ _private: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder for stored intermediates: ``spark.checkpoint.dir``, or a private one where unset."""
+    """The folder for stored intermediates: ``spark.checkpoint.dir``, or with a local master a private one where unset."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.conf.get("spark.master", "").split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not _private:
         _private.append(tempfile.mkdtemp(prefix="lipika-"))
         atexit.register(shutil.rmtree, _private[0], ignore_errors=True)
     return f"file://{_private[0]}"
 
 
-def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
+def removed_at_exit(spark: SparkSession, path: str) -> None:
+    """Has the session's JVM remove a path of the shared folder when it ends."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+
+
+def stored(df: DataFrame, name: str, compression: str = "snappy", **options: str) -> DataFrame:
     """Writes ``df`` once as Parquet in the shared folder and returns the table read back.
 
     This cuts the lineage: what follows never repeats what came before, also when executors go.
@@ -41,9 +49,8 @@ def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path, compression=compression)
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    df.write.options(**options).parquet(path, compression=compression)
+    removed_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 

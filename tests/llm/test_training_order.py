@@ -1,5 +1,9 @@
 """Training order: a bijection, an exact round trip, and files of a fixed stride."""
 
+import subprocess
+import sys
+from pathlib import Path
+
 import numpy as np
 import pytest
 
@@ -39,7 +43,8 @@ def test_round_trip(spark, tmp_path):
         with open(tmp_path / "out" / f"shard-{r.shard:08d}.bin", "rb") as f:
             f.seek(r.byte_offset)
             assert f.read(2 * r.n_tokens) == bytes(r.tokens)
-    O.write_shards(found, str(tmp_path / "out"), length=64, shard_slots=8).collect()
+    again = O.write_shards(found, str(tmp_path / "out"), length=64, shard_slots=8).collect()
+    assert all(s.written for s in shards) and not any(s.written for s in again)  # finished shards stay
     assert not [p for p in (tmp_path / "out").iterdir() if p.name.startswith(".")]
 
 
@@ -57,6 +62,58 @@ def test_query_writes_its_shards(spark, tmp_path, monkeypatch):
         assert raw[r.byte_offset : r.byte_offset + 2 * r.n_tokens] == bytes(r.tokens)
 
 
+def test_order_is_that_of_the_rows_not_of_their_split(spark, monkeypatch):
+    monkeypatch.setattr(O, "GROUP_ROWS", 5)
+    rows = [(k // 3, f"text {k % 7} " * (k + 1)) for k in range(40)] + [(1, "again " * 9000), (1, "again " * 9000), (None, "none"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = [{(r.slot, r.seq, bytes(r.tokens), tuple(r.doc_ids)) for r in O.sequences(docs.repartition(n), length=32).collect()} for n in (1, 7)]
+    assert found[0] == found[1]
+
+
+def test_resumed_directory(spark, tmp_path):
+    docs = spark.createDataFrame([(k, f"text {k} " * 50) for k in range(20)], "doc_id long, text string")
+    write = lambda d, **x: O.sequences(d, length=16, shard_slots=4, directory=str(tmp_path), **x).collect()
+    rows = write(docs)
+    first = tmp_path / "shard-00000000.bin"
+    kept, stamp = first.read_bytes(), first.stat().st_mtime_ns
+    (tmp_path / "shard-00000001.bin").unlink()
+    assert len(write(docs)) == len(rows)
+    assert (tmp_path / "shard-00000001.bin").exists() and first.stat().st_mtime_ns == stamp and first.read_bytes() == kept
+    with pytest.raises(ValueError, match="another order"):
+        write(docs, key="other")
+    with pytest.raises(ValueError, match="another order"):
+        write(docs.where("doc_id > 3"))
+
+
+@pytest.mark.parametrize("text", ["It's a test's 12.5 % x_1\n\n  two  \x1c spaces 。中文、字 ²3 a.b,c " * 300, "x" * 3000, " \n" * 2000, "word " * 3000])
+def test_chunks_encode_as_the_whole(text):
+    code, _ = O.encoding(O.VOCABULARY)
+    for size in (1, 7, 100):
+        parts = list(O.chunks(text, size))
+        assert "".join(parts) == text
+        assert [t for p in parts for t in code.encode_ordinary(p)] == code.encode_ordinary(text)
+
+
+def test_memory_of_a_long_text():
+    """One text of 16 MB: what a worker holds beside the text itself stays small."""
+    script = """
+import resource, sys, pyarrow as pa
+sys.path.insert(0, %r)
+from unittest import mock
+import pyspark
+from lipika.llm import training_order as O
+O.encoding(O.VOCABULARY)
+batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array(["some words, and more of them " * 560_000])], names=["doc_id", "text"])
+with mock.patch("pyspark.TaskContext.get") as get:
+    get.return_value.partitionId.return_value = 0
+    n = sum(b.column("n_tokens").to_numpy().sum() for b in O._encoder(O.VOCABULARY)(iter([batch])))
+print(n, resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)
+"""
+    done = subprocess.run([sys.executable, "-c", script % str(Path(__file__).parents[2])], capture_output=True, text=True, check=True)
+    n, mb = map(int, done.stdout.split())
+    assert n > 3_000_000 and mb < 250
+
+
 def test_no_tokens(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert O.sequences(empty).count() == 0
