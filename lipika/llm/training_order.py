@@ -40,8 +40,8 @@ KEY = "order-1"
 ROUNDS = 6
 #: Characters that are encoded at a time, tokens of a stored row, and stored rows that share one file of places.
 CHUNK_CHARS, ROW_TOKENS, GROUP_ROWS = 1 << 16, 1 << 18, 1 << 16
-#: Bytes of ids in a record batch.
-BATCH_BYTES = 1 << 20
+#: Bytes of ids in a record batch, and in a page of the stored table: copies within a page cost little.
+BATCH_BYTES, PAGE_BYTES = 1 << 20, 8 << 20
 #: Where a text may be cut without changing its tokens: after a letter or number, before an ASCII sign that is none.
 _CUT = re.compile(r"[^\W_](?=[\x00-/:-@\[-`{-\x7f])")
 
@@ -213,16 +213,16 @@ def _slicer(directory: str, n_sequences: int, length: int, width: int, key: str)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, root = _files(directory)
-        codec = pa.Codec("zstd", compression_level=3)
+        codec = pa.Codec("zstd", compression_level=6)
         part, places = None, None
         doc, seq, at, count, data = [], [], [], [], []
 
         def out() -> pa.RecordBatch:
             slots = order(np.array(seq, np.int64))
-            columns = [pa.array(slots), pa.array(seq, pa.int64()), pa.array(at, pa.int32()), pa.array(count, pa.int32()), pa.array(doc, pa.int64()), pa.array(data, pa.binary())]
+            columns = [pa.array(slots), pa.array(at, pa.int32()), pa.array(count, pa.int32()), pa.array(doc, pa.int64()), pa.array(data, pa.binary())]
             for x in (doc, seq, at, count, data):
                 x.clear()
-            return pa.RecordBatch.from_arrays(columns, names=["slot", "seq", "at", "n", "doc_id", "ids"])
+            return pa.RecordBatch.from_arrays(columns, names=["slot", "at", "n", "doc_id", "ids"])
 
         for batch in batches:
             ids_ = batch.column("ids")
@@ -287,15 +287,18 @@ class _Shards:
 _SEQUENCE = "slot long, shard long, byte_offset long, seq long, n_tokens int, doc_ids array<long>, tokens binary"
 
 
-def _assembler(length: int, width: int, slots: int, n_sequences: int, directory: str | None):
+def _assembler(length: int, width: int, slots: int, n_sequences: int, key: str, directory: str | None):
+    order = Feistel(n_sequences, key)
+
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = pa.Codec("zstd")
         done: list[tuple] = []
-        slot, seq, docs, parts = None, None, [], []
+        slot, docs, parts = None, [], []
         shards = None
 
         def out() -> pa.RecordBatch:
             columns = list(zip(*done, strict=True))
+            columns.insert(3, order(np.array(columns[0], np.int64), inverse=True))
             done.clear()
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[x.split()[0] for x in _SEQUENCE.split(", ")])
@@ -306,14 +309,14 @@ def _assembler(length: int, width: int, slots: int, n_sequences: int, directory:
             if directory:
                 shards = shards or _Shards(directory, length * width, slots, n_sequences)
                 shards.add(slot // slots, raw)
-            done.append((slot, slot // slots, slot % slots * length * width, seq, len(raw) // width, list(docs), raw))
+            done.append((slot, slot // slots, slot % slots * length * width, len(raw) // width, list(docs), raw))
 
         for batch in batches:
-            for s, q, d, n, ids in zip(*[batch.column(c).to_pylist() for c in ("slot", "seq", "doc_id", "n", "ids")], strict=True):
+            for s, d, n, ids in zip(*[batch.column(c).to_pylist() for c in ("slot", "doc_id", "n", "ids")], strict=True):
                 if s != slot:
                     if slot is not None:
                         close()
-                    slot, seq, docs, parts = s, q, [], []
+                    slot, docs, parts = s, [], []
                 docs.append(d)
                 parts.append(codec.decompress(ids, decompressed_size=n * width, asbytes=True))
                 if len(done) * length * width >= BATCH_BYTES:
@@ -346,7 +349,7 @@ def sequences(docs: DataFrame, vocabulary: str = VOCABULARY, length: int = LENGT
     small_batches(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     width = 2 if encoding(vocabulary)[1] < 1 << 16 else 4
-    coded = stored(rows.mapInArrow(_encoder(vocabulary), _CODED), "ids", "zstd", **{"parquet.compression.codec.zstd.level": "9"})
+    coded = stored(rows.mapInArrow(_encoder(vocabulary), _CODED), "ids", "zstd", **{"parquet.compression.codec.zstd.level": "9", "parquet.page.size": str(PAGE_BYTES)})
     order = ["doc_id", "h1", "h2", "part", "nth"]
     ranged = coded.select(*order, "n_tokens").repartitionByRange(*order).sortWithinPartitions(*order)
     sums = stored(ranged.select("part", "nth", "n_tokens").mapInArrow(_sums, "piece long, part long, nth int, n_tokens long, within long"), "places")
@@ -363,12 +366,12 @@ def sequences(docs: DataFrame, vocabulary: str = VOCABULARY, length: int = LENGT
     n_sequences = -(-total // length)
     if directory:
         _same_order(directory, {"tokens": total, "length": length, "shard_slots": shard_slots, "key": key, "width": width, "texts": _digest(coded)})
-    cut = coded.mapInArrow(_slicer(places, n_sequences, length, width, key), "slot long, seq long, at int, n int, doc_id long, ids binary")
+    cut = coded.mapInArrow(_slicer(places, n_sequences, length, width, key), "slot long, at int, n int, doc_id long, ids binary")
     n_shards = max(1, -(-total // (length * shard_slots)))
     ranges = min(n_shards, int(spark.conf.get("spark.sql.shuffle.partitions")))
     shard = F.floor(F.col("slot") / shard_slots)
     ordered = cut.repartitionById(ranges, F.floor(shard * ranges / n_shards).cast("int")).sortWithinPartitions("slot", "at")
-    return ordered.mapInArrow(_assembler(length, width, shard_slots, n_sequences, directory), _SEQUENCE)
+    return ordered.mapInArrow(_assembler(length, width, shard_slots, n_sequences, key, directory), _SEQUENCE)
 
 
 def _digest(coded: DataFrame) -> str:
