@@ -2,7 +2,9 @@
 
 Only DataFrame functions, in one scan without a shuffle. Spark gives no positions of
 regular-expression matches, so they come from two lists: a text split at the matches has
-the gaps, and the running sum of the lengths of gaps and matches has every start.
+the gaps, and the running sum of the lengths of gaps and matches has every start. The sum
+runs in blocks, and words near a span are read from the gaps beside it, so the time grows
+with the text and with the number of matches ``n`` as ``n * BLOCK + (n / BLOCK)^2``.
 
 The patterns that run are written so that no text costs more than linear time and no
 recursion: possessive repeats, and look-behinds that begin a match only where the plain
@@ -28,66 +30,64 @@ KINDS = (
 BASE = ("email", "ip", "card", "phone")
 #: Spans of other kinds stay from this score on; base spans always stay.
 THRESHOLD = 0.6
-#: A word near a span adds so much to its score; near: so many code points before it.
+#: A word near a span adds so much to its score; near: so many code points before or after it.
 CONTEXT_BONUS, CONTEXT_CHARS = 0.3, 40
+#: Matches of a block of the running sum; neighbours that reach over the context, since no match is shorter than three signs.
+BLOCK, NEIGHBOURS = 128, CONTEXT_CHARS // 3 + 1
 
 
-def _luhn(match: Column) -> Column:
-    digits = F.regexp_replace(match, "[^0-9]", "")
-    n = F.length(digits)
+def _bound(name: str, value: str, body: str) -> str:
+    """SQL of ``body``, in which ``name`` is a value that is computed once."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
 
-    def weighed(i: Column) -> Column:
-        d = F.substring(digits, n - i, F.lit(1)).cast("int")
-        return F.when(i % 2 == 0, d).when(d > 4, 2 * d - 9).otherwise(2 * d)
-
-    return F.aggregate(F.transform(F.sequence(F.lit(0), n - 1), weighed), F.lit(0), lambda a, x: a + x) % 10 == 0
-
-
-def _mod97(match: Column) -> Column:
-    plain = F.replace(match, F.lit(" "), F.lit(""))
-    turned = F.concat(F.substring(plain, F.lit(5), F.length(plain)), F.substring(plain, F.lit(1), F.lit(4)))
-
-    def step(rest: Column, i: Column) -> Column:
-        v = F.conv(F.substring(turned, i, F.lit(1)), 36, 10).cast("int")
-        return (rest * F.when(v > 9, 100).otherwise(10) + v) % 97
-
-    return F.aggregate(F.sequence(F.lit(1), F.length(turned)), F.lit(0), step) == 1
 
+_DIGIT = "int(substring(d, -k, 1))"
+_WEIGHED = f"CASE WHEN k % 2 = 1 THEN {_DIGIT} WHEN {_DIGIT} > 4 THEN 2 * {_DIGIT} - 9 ELSE 2 * {_DIGIT} END"
+_LUHN = _bound("d", "regexp_replace(m, '[^0-9]', '')", f"aggregate(sequence(1, length(d)), 0, (a, k) -> a + {_WEIGHED}) % 10 = 0")
+_VALUE = "int(conv(substring(t, k, 1), 36, 10))"
+_MOD_97 = _bound("p", "replace(m, ' ', '')", _bound("t", "substring(p, 5) || substring(p, 1, 4)", f"aggregate(sequence(1, length(t)), 0, (r, k) -> (r * CASE WHEN {_VALUE} > 9 THEN 100 ELSE 10 END + {_VALUE}) % 97) = 1"))
+_PART = "regexp_replace(p, '^0+(?=[0-9])', '')"
+#: What confirms a match ``m``.
+_CONFIRMED = {
+    "email": "true",
+    "ip": f"forall(split(m, '[.]'), p -> length({_PART}) <= 3 AND int(substring({_PART}, 1, 3)) <= 255)",
+    "card": _LUHN,
+    "phone": "length(regexp_replace(m, '[^0-9]', '')) BETWEEN 9 AND 15",
+    "iban": _MOD_97,
+    "ssn": "true",
+}
 
-def _ip_parts(match: Column) -> Column:
-    def part(p: Column) -> Column:
-        short = F.regexp_replace(p, "^0+(?=[0-9])", "")
-        return (F.length(short) <= 3) & (F.substring(short, 1, 3).cast("int") <= 255)
 
-    return F.forall(F.split(match, r"\."), part)
+def _grown(begin: str, values: str) -> str:
+    """SQL of the running sums of ``values`` from ``begin`` on."""
+    return f"aggregate({values}, struct({begin} AS at, CAST(array() AS array<int>) AS list), (a, v) -> struct(a.at + v AS at, concat(a.list, array(a.at + v)) AS list), a -> a.list)"
 
 
-def _confirmed(kind: str, match: Column) -> Column:
-    if kind == "ip":
-        return _ip_parts(match)
-    if kind == "card":
-        return _luhn(match)
-    if kind == "phone":
-        return F.length(F.regexp_replace(match, "[^0-9]", "")).between(9, 15)
-    return _mod97(match) if kind == "iban" else F.lit(True)
+#: Running sums of the array ``sizes``; arrays grow within a block and by blocks only.
+_BLOCKS = f"sequence(0, (size(sizes) - 1) div {BLOCK})"
+_SLICE = f"slice(sizes, int(b) * {BLOCK} + 1, {BLOCK})"
+_TOTALS = _grown("0", f"transform({_BLOCKS}, b -> aggregate({_SLICE}, 0, (c, v) -> c + v))")
+_RUNNING = _bound("totals", _TOTALS, f"flatten(transform({_BLOCKS}, b -> {_grown('CASE WHEN b > 0 THEN element_at(totals, int(greatest(b, 1))) ELSE 0 END', _SLICE)}))")
 
 
-def _spans(kind: str, nth: int, score: float, words: str, text: Column, matches: Column, gaps: Column) -> Column:
+def _spans(kind: str, nth: int, score: float, words: str) -> Column:
     """Confirmed spans of one kind, as structs that sort by start and then by kind."""
-    empty = F.array().cast("array<struct<start:int,nth:int,end:int,kind:string,score:double>>")
-
-    def add(acc: Column, i: Column) -> Column:
-        match = F.element_at(matches, i)
-        start = acc["at"] + F.length(F.element_at(gaps, i))
-        end = start + F.length(match)
-        near = F.lower(F.substring(text, F.greatest(start - CONTEXT_CHARS, F.lit(0)) + 1, F.least(start, F.lit(CONTEXT_CHARS))))
-        value = F.least(F.lit(1.0), F.lit(score) + F.when(near.rlike(words), CONTEXT_BONUS).otherwise(0.0))
-        one = F.array(F.struct(start.alias("start"), F.lit(nth).alias("nth"), end.alias("end"), F.lit(kind).alias("kind"), value.alias("score")))
-        good = _confirmed(kind, match) if kind in BASE else _confirmed(kind, match) & (value >= THRESHOLD)
-        return F.struct(end.alias("at"), F.when(good, F.concat(acc["found"], one)).otherwise(acc["found"]).alias("found"))
-
-    folded = F.aggregate(F.sequence(F.lit(1), F.size(matches)), F.struct(F.lit(0).alias("at"), empty.alias("found")), add, lambda acc: acc["found"])
-    return F.when(F.size(matches) > 0, folded).otherwise(empty)
+    each = "sequence(1, size(x.m))"
+    sizes = f"transform({each}, i -> length(x.g[i - 1]) + length(x.m[i - 1]))"
+    # gaps and matches in turn, the gaps cut to what the context can hold of them
+    before = f"flatten(transform({each}, i -> array(right(x.g[i - 1], {CONTEXT_CHARS}), x.m[i - 1])))"
+    after = f"flatten(transform({each}, i -> array(x.m[i - 1], left(x.g[i], {CONTEXT_CHARS}))))"
+    first = f"greatest(2 * (i - {NEIGHBOURS}) - 1, 1)"
+    left = f"right(array_join(slice(y.l, {first}, 2 * i - {first}), ''), {CONTEXT_CHARS})"
+    right = f"left(array_join(slice(y.r, 2 * i, {2 * NEIGHBOURS + 1}), ''), {CONTEXT_CHARS})"
+    value = f"least(1D, {score}D + CASE WHEN lower({left} || '\n' || {right}) RLIKE '{words}' THEN {CONTEXT_BONUS}D ELSE 0D END)"
+    span = f"named_struct('start', y.e[i - 1] - length(x.m[i - 1]), 'nth', {nth}, 'end', y.e[i - 1], 'kind', '{kind}', 'score', {value})"
+    good = f"filter({each}, i -> {_bound('m', 'x.m[i - 1]', _CONFIRMED[kind])})"
+    found = _bound("y", f"struct({_bound('sizes', sizes, _RUNNING)} AS e, {before} AS l, {after} AS r)", f"transform({good}, i -> {span})")
+    if kind not in BASE:
+        found = f"filter({found}, s -> s.score >= {THRESHOLD}D)"
+    found = _bound("x", f"struct(m_{kind} AS m, g_{kind} AS g)", found)
+    return F.expr(f"CASE WHEN size(m_{kind}) > 0 THEN {found} ELSE CAST(array() AS array<struct<start:int,nth:int,end:int,kind:string,score:double>>) END")
 
 
 def find_spans(docs: DataFrame) -> DataFrame:
@@ -103,7 +103,7 @@ def find_spans(docs: DataFrame) -> DataFrame:
         rows = rows.withColumn(f"m_{kind}", F.when(maybe, F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).otherwise(F.array().cast("array<string>")))
     for kind, _, pattern, *_ in KINDS:
         rows = rows.withColumn(f"g_{kind}", F.when(F.size(f"m_{kind}") > 0, F.split("text", pattern, -1)))
-    found = [_spans(kind, n, score, words, F.col("text"), F.col(f"m_{kind}"), F.col(f"g_{kind}")) for n, (kind, _, _, score, words) in enumerate(KINDS)]
+    found = [_spans(kind, n, score, words) for n, (kind, _, _, score, words) in enumerate(KINDS)]
     return rows.select("doc_id", F.array_sort(F.concat(*found)).alias("spans"))
 
 
@@ -135,7 +135,7 @@ _GOOD = {
     "card": f"length({_DIGITS}) BETWEEN 12 AND 19 AND list_sum(list_transform(range(0, length({_DIGITS})), lambda i: CASE WHEN i % 2 = 0 THEN CAST(reverse({_DIGITS})[i + 1] AS INTEGER) WHEN CAST(reverse({_DIGITS})[i + 1] AS INTEGER) > 4 THEN 2 * CAST(reverse({_DIGITS})[i + 1] AS INTEGER) - 9 ELSE 2 * CAST(reverse({_DIGITS})[i + 1] AS INTEGER) END)) % 10 = 0",
     "phone": f"length({_DIGITS}) BETWEEN 9 AND 15",
     "iban": f"list_reduce(list_prepend(CAST(0 AS BIGINT), list_transform(string_split({_TURNED}, ''), lambda c: CAST(strpos('0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ', c) - 1 AS BIGINT))), lambda a, v: (a * CASE WHEN v > 9 THEN 100 ELSE 10 END + v) % 97) = 1",
-    "ssn": "regexp_matches(lower(text[greatest(s - 40, 0) + 1:s]), 'ssn|social security|taxpayer')",
+    "ssn": "regexp_matches(lower(text[greatest(s - 40, 0) + 1:s] || chr(10) || text[s + length(m) + 1:s + length(m) + 40]), 'ssn|social security|taxpayer')",
 }
 
 
