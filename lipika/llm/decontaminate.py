@@ -8,23 +8,22 @@ a document that holds the share ``t`` of an item's shingles lacks fewer than ``k
 it holds one of the sketch: the search misses nothing. What it proposes is verified by
 counting the item's shingles in the document's full set.
 
-Only DataFrame functions. Sketches of a benchmark within ``SKETCH_BOUND`` hashes become a set
-predicate on each document's shingles, so documents are filtered where they are read and no
-text is shuffled; beyond the bound, a join on the hashes does the same.
+Only DataFrame functions. The sketches, hash by hash, are broadcast and meet each document's
+shingles where the document is read, so neither texts nor unfiltered shingles are shuffled.
+What is broadcast is counted before: a benchmark beyond ``PAIR_BOUND`` or ``SHINGLE_BOUND``
+is searched in several passes of the same plan, each over a part of the items.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lipika.llm._common import columns_of, fresh, table
+from lipika.llm._common import bound, columns_of, fresh, stored, table
 
 SHINGLE, PERCENT = 5, 80
-#: Hashes that a predicate or a broadcast may hold, counted before use: 32,768 longs.
-SKETCH_BOUND = 1 << 15
+#: What a broadcast may hold: pairs of a sketch hash and an item, shingles of items, digests of documents that leak.
+PAIR_BOUND, SHINGLE_BOUND, LEAK_BOUND = 1 << 20, 1 << 22, 1 << 20
 
 
 def words(text: Column) -> Column:
@@ -43,11 +42,6 @@ def shingle_hashes(w: Column, n: int) -> Column:
     return bound(w, hashes)
 
 
-def bound(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once a row, however often the body's lambdas use it."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def _needed(size: Column, percent: int) -> Column:
     return F.ceil(size * percent / 100).cast("int")
 
@@ -60,39 +54,24 @@ def item_sketches(items: DataFrame, shingle: int, percent: int) -> DataFrame:
     return sets.select("item_id", "shingles", _needed(F.size("shingles"), percent).alias("need"), F.slice("shingles", F.lit(1), k).alias("sketch"))
 
 
-class _Search:
-    """The sketches of one benchmark, and the tests of documents by them."""
-
-    def __init__(self, items: DataFrame, shingle: int, percent: int) -> None:
-        self.shingle = shingle
-        self.items = item_sketches(items, shingle, percent)
-        # the predicate's values: counted first, so what comes to the driver is bounded
-        hashes = self.items.select(F.explode("sketch").alias("h")).distinct()
-        self.values = [r.h for r in hashes.limit(SKETCH_BOUND + 1).collect()]
-        self.fits = len(self.values) <= SKETCH_BOUND
-        total = self.items.agg(F.coalesce(F.sum(F.size("shingles") * F.size("sketch")), F.lit(0))).first()[0] if self.fits else 0
-        self.small = self.fits and total <= 8 * SKETCH_BOUND
-
-    def touched(self, docs: DataFrame, key: list[str]) -> DataFrame:
-        """``key, shingles, h`` for each sketch hash ``h`` in a document."""
-        rows = docs.select(*key, shingle_hashes(words(F.col("text")), self.shingle).alias("shingles"))
-        rows = rows.where(F.exists("shingles", lambda h: h.isin(self.values)))
-        rows = rows.withColumn("shingles", F.array_distinct("shingles"))
-        return rows.withColumn("h", F.explode(F.filter("shingles", lambda h: h.isin(self.values))))
-
-    def _joined(self, docs: DataFrame, key: list[str]) -> DataFrame:
-        """The same by a join on the hashes, for a benchmark of any size: an item counts if a sketch hash of it is met."""
-        text = [F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(1), F.col("text")).alias("t2")]
-        hashes = docs.select(*key, *text, F.explode(F.array_distinct(shingle_hashes(words(F.col("text")), self.shingle))).alias("h"))
-        items = self.items.select("item_id", "need", F.size("shingles").alias("n_item"), F.explode("shingles").alias("h"), "sketch")
-        items = items.withColumn("leads", F.array_contains("sketch", F.col("h"))).drop("sketch")
-        met = hashes.join(items, "h").groupBy(*key, "t1", "t2", "item_id", "n_item", "need").agg(F.count_distinct("h").alias("n_common"), F.max("leads").alias("leads"))
-        return met.where("leads and n_common >= need").groupBy(*key, "item_id").agg(F.max("n_item").cast("long").alias("n_item"), F.max("n_common").alias("n_common"))
-
-    def is_touched(self, text: Column) -> Column:
-        return F.exists(shingle_hashes(words(text), self.shingle), lambda h: h.isin(self.values))
-
-    def leaks(self, docs: DataFrame, key: list[str]) -> DataFrame:
+def _leaks(docs: DataFrame, key: list[str], items: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """``key, item_id, n_item, n_common`` of every verified pair, once."""
+    own = stored(item_sketches(items, shingle, percent).withColumn("nth", F.monotonically_increasing_id()), "items")
+    pairs, shingles = own.agg(F.coalesce(F.sum(F.size("sketch")), F.lit(0)), F.coalesce(F.sum(F.size("shingles")), F.lit(0))).first()
+    passes = max(1, -(-pairs // PAIR_BOUND), -(-shingles // SHINGLE_BOUND))
+    rows = docs.select(*key, shingle_hashes(words(F.col("text")), shingle).alias("shingles"))
+    found = None
+    for p in range(passes):
+        part = own if passes == 1 else own.where(F.pmod(F.xxhash64("nth"), F.lit(passes)) == p)
+        by_hash = F.broadcast(part.select("nth", F.explode("sketch").alias("h")))
+        sets = F.broadcast(part.select("nth", "item_id", F.col("shingles").alias("item"), "need"))
+        met = rows.withColumn("h", F.explode("shingles")).join(by_hash, "h").join(sets, "nth")
+        met = met.withColumn("n_common", F.size(F.array_intersect("shingles", "item"))).where("n_common >= need").select(*key, "item_id", F.size("item").alias("n_item"), "n_common")
+        found = met if found is None else found.unionByName(met)
+    return found.groupBy(*key, "item_id").agg(F.max("n_item").cast("long").alias("n_item"), F.max("n_common").cast("long").alias("n_common"))
+
+
+def leaks(self, docs: DataFrame, key: list[str]) -> DataFrame:
         """``key, item_id, n_item, n_common`` of every verified pair, once."""
         if not self.fits:
             return self._joined(docs, key)
@@ -113,25 +92,23 @@ def leaks(docs: DataFrame, items: DataFrame, shingle: int = SHINGLE, percent: in
     named columns are read.
     """
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    return _Search(items.select("item_id", "text"), shingle, percent).leaks(rows, ["doc_id"])
+    return _leaks(rows, ["doc_id"], items.select("item_id", "text"), shingle, percent)
 
 
 def without_leaks(docs: DataFrame, items: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` that hold no item; columns unchanged.
 
-    A row's own text decides, whatever its doc_id. Rows that touch no sketch go straight
-    through; only the few others are joined with the verdicts.
+    A row's own text decides, whatever its doc_id. Digests of the texts that leak are stored and
+    counted; up to ``LEAK_BOUND`` they are broadcast and no text is shuffled, beyond it Spark joins
+    by shuffle.
     """
-    search = _Search(items.select("item_id", "text"), shingle, percent)
     names = fresh(docs, "text_h1", "text_h2")
-    keyed = docs.withColumn(names[0], F.xxhash64(F.col("text"))).withColumn(names[1], F.xxhash64(F.lit(1), F.col("text")))
-    bad = search.leaks(keyed, names).select(*names).distinct()
-    if not search.fits:
-        return keyed.join(bad, names, "left_anti").select(*columns_of(docs))
-    if not search.values:
-        return docs
-    hit = F.coalesce(search.is_touched(F.col("text")), F.lit(False))
-    return docs.where(~hit).unionByName(keyed.where(hit).join(bad, names, "left_anti").select(*columns_of(docs)))
+    digests = [F.xxhash64(F.col("text")), F.xxhash64(F.lit(1), F.col("text"))]
+    rows = docs.select(*[d.alias(n) for d, n in zip(digests, names, strict=True)], F.col("text").cast("string").alias("text"))
+    bad = stored(_leaks(rows, names, items.select("item_id", "text"), shingle, percent).select(*names).distinct(), "leaks")
+    few = bad.count() <= LEAK_BOUND
+    same = (digests[0] == bad[names[0]]) & (digests[1] == bad[names[1]])
+    return docs.join(F.broadcast(bad) if few else bad, same, "left_anti").select(*columns_of(docs))
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
