@@ -4,8 +4,9 @@ Token labels come from labelled documents: a set cover picks the fewest words an
 beginnings that occur in toxic documents and (almost) never in others; their tokens are the
 toxic ones. The field has features of a word's form and transitions between two states, and
 is trained on windows of those tokens by exact forward-backward gradients. Documents are
-tagged as one whole chain each; the marginals of a chain give a document's score (the
-probability that some token is toxic) and the offsets of what offends.
+tagged as one whole chain each; the marginals of a chain give a document's score (the noisy-or
+of their squares, in which the many faint ones of a long text weigh next to nothing, however
+many they are) and the offsets of what offends.
 """
 
 from __future__ import annotations
@@ -18,19 +19,19 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lipika.llm._common import small_batches, table
 
-#: At most so many labelled documents of either class are learned from (least hashes of doc_id).
-SAMPLE_ROWS = 2500
+#: At most so many labelled documents of either class are learned from, and so many characters of them (least hashes of doc_id).
+SAMPLE_ROWS, SAMPLE_CHARS = 2500, 16_000_000
 WINDOW, NEGATIVES = 16, 3
 ROUNDS, STEP, RIDGE = 50, 0.25, 1e-4
 #: A cue without a counter-example is believed if chance would make one with less than this probability.
 CHANCE = 1e-5
-MAX_FEATURES = 60_000
-#: Tokens with at least this marginal count towards the score, and make a span from SPAN on.
-FAINT, SPAN = 0.05, 0.5
+#: Tokens with at least this marginal make a span.
+SPAN = 0.5
 THRESHOLD = 0.5
 SEED = 5
 
@@ -110,7 +111,7 @@ def _is_cue(word: str, picked: set[str]) -> bool:
 
 
 def _windows(texts: list[str], toxic: np.ndarray, picked: set[str]) -> tuple[list[list[str]], list[list[int]]]:
-    """Windows of word forms with their states: around each toxic token, and at random elsewhere."""
+    """Windows of word forms with their states: all that hold a toxic token, and some at random."""
     rng = np.random.default_rng(SEED)
     words, states = [], []
     for text, t in zip(texts, toxic, strict=True):
@@ -118,7 +119,8 @@ def _windows(texts: list[str], toxic: np.ndarray, picked: set[str]) -> tuple[lis
         if not w:
             continue
         y = [int(bool(t) and _is_cue(x, picked)) for x in w]
-        starts = [max(0, k - int(rng.integers(0, WINDOW))) for k in np.flatnonzero(y)[:4]]
+        phase = int(rng.integers(0, WINDOW))
+        starts = sorted({max(0, (k + phase) // WINDOW * WINDOW - phase) for k in np.flatnonzero(y).tolist()})
         starts += [int(x) for x in rng.integers(0, max(1, len(w) - WINDOW + 1), NEGATIVES)]
         for s in starts:
             words.append(w[s : s + WINDOW])
@@ -134,7 +136,7 @@ def fit(texts: list[str], toxic: np.ndarray) -> Field:
     words, states = _windows(texts, toxic, picked)
     counts = Counter(f for w in words for x in w for f in features(x))
     toxic_counts = Counter(f for w, y in zip(words, states, strict=True) for x, s in zip(w, y, strict=True) if s for f in features(x))
-    names = sorted(counts, key=lambda f: (-toxic_counts[f], -counts[f], f))[:MAX_FEATURES]
+    names = sorted(counts, key=lambda f: (-toxic_counts[f], -counts[f], f))
     at = {f: k + 1 for k, f in enumerate(names)}
     n = len(words)
     longest = max(map(len, words))
@@ -249,9 +251,8 @@ def _tagger(field: Field):
             scores, spans = [], []
             for text, m, end in zip(texts, lengths, ends, strict=True):
                 own = p[end - m : end]
-                loud = own[own >= FAINT]
-                scores.append(float(-np.expm1(np.log1p(-np.minimum(loud, 1 - 1e-12)).sum())))
-                spans.append(_offsets(text, own) if len(loud) and loud.max() >= SPAN else [])
+                scores.append(float(-np.expm1(np.log1p(-np.minimum(own, 1 - 1e-12) ** 2).sum())))
+                spans.append(_offsets(text, own) if m and own.max() >= SPAN else [])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(scores, pa.float64()), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("p", pa.float64())])))],
                 names=["doc_id", "score", "spans"],
@@ -284,27 +285,30 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Field:
+def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_chars: int = SAMPLE_CHARS) -> Field:
     """Learns from ``labels.toxic`` of documents that are not held out.
 
     Repeated labels of a document are averaged; null labels, and labels of no document, are
-    not used; null and empty texts teach nothing. At most ``sample_rows`` documents of either
-    class come to the driver.
+    not used; null and empty texts teach nothing; of several texts of one doc_id the first in
+    order is taken. At most ``sample_rows`` documents of either class, by the hash of doc_id,
+    come to the driver, and of these as many whole ones as ``sample_chars`` characters hold.
     """
     known = labels.where("toxic is not null and doc_id is not null").where(~held_out(F.col("doc_id")))
     known = known.groupBy(F.col("doc_id").alias("label_id")).agg((F.avg("toxic") >= 0.5).cast("int").alias("label_y"))
     pick = lambda y: known.where(F.col("label_y") == y).orderBy(F.xxhash64("label_id"), "label_id").limit(sample_rows)
     ids = pick(1).unionByName(pick(0))
-    sample = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(ids), F.col("doc_id") == F.col("label_id"))
-    rows = sample.select("label_id", "label_y", "text").dropDuplicates(["label_id"]).toPandas().sort_values("label_id")
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).where("text is not null")
+    sample = texts.join(F.broadcast(ids), F.col("doc_id") == F.col("label_id")).groupBy("label_id", "label_y").agg(F.min("text").alias("text"))
+    so_far = F.sum(F.length("text")).over(W.partitionBy("label_y").orderBy(F.xxhash64("label_id"), "label_id").rowsBetween(W.unboundedPreceding, W.currentRow))
+    rows = sample.withColumn("so_far", so_far).where(F.col("so_far") <= sample_chars).select("label_id", "label_y", "text").toPandas().sort_values("label_id")
     return fit(rows["text"].tolist(), rows["label_y"].to_numpy(int))
 
 
 def tagged(docs: DataFrame, field: Field) -> DataFrame:
-    """``doc_id, score, spans`` of every row, one for one; a null or empty text scores 0 and has no span."""
+    """``doc_id, score, spans`` of every row, one for one; doc_id of any type comes back as it is; a null or empty text scores 0 and has no span."""
     small_batches(docs.sparkSession)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_tagger(field), "doc_id long, score double, spans array<struct<start:long,end:long,p:double>>")
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(_tagger(field), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, score double, spans array<struct<start:long,end:long,p:double>>")
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

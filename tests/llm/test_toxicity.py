@@ -58,6 +58,21 @@ def test_held_out_accuracy_and_offsets(spark):
     assert not any(m.endswith((",", "!")) for m in marked)
 
 
+def test_every_toxic_token_is_in_a_window():
+    text = " ".join("bad" if k % 11 == 0 else f"w{k}" for k in range(700))
+    words, states = T._windows([text, "only clean words", ""], np.array([1, 0, 0]), {"=bad"})
+    assert sum(map(sum, states)) >= 64 and all(len(w) == len(y) <= T.WINDOW for w, y in zip(words, states, strict=True))
+
+
+def test_sample_is_fixed_and_bounded(spark):
+    docs, labels = corpus(200)
+    both = [*docs, *[(k, "zzub other text") for k, _ in docs[:50]]]
+    y = spark.createDataFrame(labels, "doc_id long, toxic int")
+    fields = [T.train(spark.createDataFrame(both, "doc_id long, text string").repartition(n), y, sample_chars=20_000) for n in (1, 3)]
+    assert fields[0] == fields[1] and fields[0].weights
+    assert not T.train(spark.createDataFrame(both, "doc_id long, text string"), y, sample_chars=1).weights
+
+
 def test_odd_inputs(spark):
     docs, labels = corpus(300)
     field = T.train(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"))
@@ -65,6 +80,8 @@ def test_odd_inputs(spark):
     rows = T.tagged(odd, field).collect()
     assert len(rows) == 5 and all(0 <= r.score <= 1 for r in rows)
     assert max(r.score for r in rows if r.doc_id == 2) > 0.5 and all(r.score == 0 for r in rows if r.doc_id != 2)
+    clean = T.tagged(spark.createDataFrame([("a", "an the ing er " * 50_000)], "doc_id string, text string"), field).first()
+    assert clean.doc_id == "a" and clean.score < 0.1  # long texts don't add up to toxic ones
     none = T.train(odd, spark.createDataFrame([], "doc_id long, toxic int"))
     assert all(r.score < 0.01 for r in T.tagged(odd, none).collect())
     assert T.tagged(odd.limit(0), field).count() == 0
