@@ -8,14 +8,13 @@ projection over the scan, without Python and without a shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lipika.llm._common import table
+from lipika.llm._common import bound, table
 
 #: At most so many labelled documents are fitted to (those with the least hash of doc_id).
 SAMPLE_ROWS = 12_000
@@ -27,16 +26,11 @@ THRESHOLD = 0.7
 _STATISTICS = ("n_words", "word_length", "upper", "symbols", "digits", "distinct", "repeated", "symbol_words", "stops", "longest")
 
 
-def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once a row, however often the body uses it and wherever a filter is pushed."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def statistics(text: Column) -> Column:
     """The statistics of a whole text, as a struct; a null text counts as empty, of which all are 0."""
     text = F.coalesce(text.cast("string"), F.lit(""))
     words = lambda t: F.filter(F.split(t, r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    return _bound(F.struct(text.alias("t"), words(text).alias("w")), lambda x: _statistics(x["t"], x["w"]))
+    return bound(F.struct(text.alias("t"), words(text).alias("w")), lambda x: _statistics(x["t"], x["w"]))
 
 
 def _statistics(text: Column, words: Column) -> Column:
@@ -79,7 +73,7 @@ class Rules:
                 total = total + F.when(holds, weight).otherwise(0.0)
             return F.lit(1.0) / (F.lit(1.0) + F.exp(-total))
 
-        return _bound(statistics(text), weigh)
+        return bound(statistics(text), weigh)
 
 
 def _grow(x: np.ndarray, grad: np.ndarray, hess: np.ndarray, cuts: list[np.ndarray], rows: np.ndarray, path: tuple, depth: int, out: list, step: np.ndarray) -> None:
@@ -180,7 +174,8 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     """Fits rules to ``labels.quality`` of documents that are not held out.
 
     Repeated labels of a document are averaged; labels that are null, or of no document, are
-    not used. At most ``sample_rows`` documents, by the hash of doc_id, come to the driver.
+    not used; of several texts of one doc_id the one with the least statistics is taken. The
+    statistics of at most ``sample_rows`` documents, by the hash of doc_id, come to the driver.
     """
     ids = (
         labels.where("quality is not null and doc_id is not null").where(~held_out(F.col("doc_id")))
@@ -188,7 +183,8 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
         .orderBy(F.xxhash64("label_id"), "label_id").limit(sample_rows)
     )
     sample = docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("label_id"))
-    rows = sample.select("label_id", "label_y", statistics(F.col("text")).alias("s")).select("label_id", "label_y", "s.*").limit(sample_rows).toPandas().sort_values(["label_id", *_STATISTICS])
+    sample = sample.groupBy("label_id", "label_y").agg(F.min(statistics(F.col("text"))).alias("s"))
+    rows = sample.select("label_id", "label_y", "s.*").toPandas().sort_values("label_id")
     return fit(rows[list(_STATISTICS)].to_numpy(float).reshape(-1, len(_STATISTICS)), rows["label_y"].to_numpy(float))
 
 
