@@ -1,9 +1,10 @@
 """Mixing sources to target weights.
 
-Every document gets a hash-random key. Keys are uniform, so cutting the key space into
-fixed ranges is a range sort whose pieces are equally large within any source, a hot one
-too. Token counts are summed per range, prefix sums run over the ranges of a source, and
-only then over the documents inside one range; each source is cut at its exact budget.
+Every document gets a hash-random key, of its id and its text, so rows that share an id spread
+too. Keys are uniform, so cutting the key space into ranges is a range sort whose pieces are
+equally large within any source, a hot one too; more rows, more ranges. Token counts are summed
+per range, prefix sums run over the ranges of a source, and only then over the documents inside
+one range; each source is cut at its exact budget.
 A budget above the source's size repeats whole epochs first.
 
 Everything is built-in DataFrame code. The largest sort in one task is one range of one source.
@@ -11,14 +12,16 @@ Everything is built-in DataFrame code. The largest sort in one task is one range
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lipika.llm._common import columns_of, fresh, table
+from lipika.llm._common import columns_of, fresh, stored, table
 
-#: Pieces of the key space, as hexadecimal digits of the key: 16 ** 3 ranges for each source.
-RANGE_DIGITS = 3
+#: Rows of one range of the key space, about; ranges are hexadecimal digits of the key. The result doesn't depend on it.
+RANGE_ROWS = 50_000
 SEED = "mix-1"
 MAX_EPOCHS = 3
 WEIGHTS = (1, 2, 3)
@@ -62,18 +65,25 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epo
     )
 
 
+def row_key(seed: str) -> Column:
+    """The hash-random key of a row, by its doc_id and text."""
+    return F.md5(F.concat_ws("/", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")))))
+
+
 def mix(docs: DataFrame, size: Column, seed: str = SEED, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
-    """Adds ``size``, ``source_size``, ``target`` and ``taken`` to ``doc_id`` and ``source`` of every row.
+    """Adds ``size``, ``source_size``, ``target`` and ``taken`` to ``doc_id``, ``source`` and ``key`` of every row.
 
     ``taken`` is the number of words the mix takes of the document, repeats counted: whole
     epochs, plus, in key order, what still fits the budget; the last document is cut at a
-    word, so a source's sum is its target rounded down. Ties of the key (repeated rows) are
-    ordered by doc_id and size, equal rows by their place in the task; a row without text
+    word, so a source's sum is its target rounded down. Ties of the key are equal rows: they are
+    ordered by doc_id and size, and then by their place in the task; a row without text
     has size 0 and takes 0; null doc_ids and null sources are kept (null is a source of its
-    own, the last). An empty table gives no rows. Other columns of ``docs`` are not read.
+    own, the last). An empty table gives no rows. Of ``docs``, doc_id, source, text and what
+    ``size`` needs are read, in one scan; keys and sizes are stored.
     """
-    key = F.md5(F.concat_ws("/", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
-    rows = docs.select("doc_id", "source", size.alias("size"), key.alias("key"), F.substring(key, 1, RANGE_DIGITS).alias("piece"))
+    rows = stored(docs.select("doc_id", "source", size.alias("size"), row_key(seed).alias("key")), "mix")
+    digits = max(1, math.ceil(math.log(max(rows.count(), 1) / RANGE_ROWS, 16)))
+    rows = rows.withColumn("piece", F.substring("key", 1, min(digits, 32)))
     pieces = rows.groupBy("source", "piece").agg(F.sum("size").alias("piece_size"))
     targets = source_targets(pieces.groupBy("source").agg(F.sum("piece_size").alias("source_size")), weights, max_epochs)
     before = W.partitionBy("source").orderBy("piece").rowsBetween(W.unboundedPreceding, W.currentRow)
@@ -89,7 +99,7 @@ def mix(docs: DataFrame, size: Column, seed: str = SEED, weights: tuple[int, ...
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     rest = budget - epochs * F.col("source_size")
     part = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("before") - F.col("within")))
-    return placed.select("doc_id", "source", "size", "source_size", "target", (epochs * F.col("size") + part).cast("long").alias("taken"))
+    return placed.select("doc_id", "source", "key", "size", "source_size", "target", (epochs * F.col("size") + part).cast("long").alias("taken"))
 
 
 def mixed_documents(docs: DataFrame, seed: str = SEED, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
@@ -99,10 +109,15 @@ def mixed_documents(docs: DataFrame, seed: str = SEED, weights: tuple[int, ...]
     the budget come (white space between them unchanged) and ``n_chars`` follows. Documents
     of which nothing is taken, also those without words, don't come.
     """
-    own_id, own_source, own_size, own_taken, counted, cut = fresh(docs, "mix_id", "mix_source", "mix_size", "mix_taken", "mix_words", "mix_cut")
-    taken = mix(docs, word_count(F.col("text")), seed, weights, max_epochs).where("taken > 0")
-    taken = taken.groupBy(F.col("doc_id").alias(own_id), F.col("source").alias(own_source), F.col("size").alias(own_size)).agg(F.max("taken").alias(own_taken))
-    rows = docs.withColumn(counted, word_count(F.col("text"))).join(taken, F.col("doc_id").eqNullSafe(F.col(own_id)) & F.col("source").eqNullSafe(F.col(own_source)) & (F.col(counted) == F.col(own_size)))
+    own_id, own_source, own_size, own_taken, own_nth, own_key, key, nth, cut = fresh(docs, "mix_id", "mix_source", "mix_size", "mix_taken", "mix_own_nth", "mix_own_key", "mix_key", "mix_nth", "mix_cut")
+    # rows of one key, doc_id and source are equal in text: numbered on either side, each has its own share
+    taken = mix(docs, word_count(F.col("text")), seed, weights, max_epochs)
+    same = W.partitionBy("key", "doc_id", "source").orderBy(F.col("taken").desc())
+    taken = taken.withColumn(own_nth, F.row_number().over(same)).where("taken > 0")
+    taken = taken.select(F.col("key").alias(own_key), F.col("doc_id").alias(own_id), F.col("source").alias(own_source), F.col("size").alias(own_size), F.col("taken").alias(own_taken), own_nth)
+    rows = docs.withColumn(key, row_key(seed))
+    rows = rows.withColumn(nth, F.row_number().over(W.partitionBy(key, "doc_id", "source").orderBy(F.lit(1))))
+    rows = rows.join(taken, (F.col(key) == F.col(own_key)) & F.col("doc_id").eqNullSafe(F.col(own_id)) & F.col("source").eqNullSafe(F.col(own_source)) & (F.col(nth) == F.col(own_nth)))
     full = F.floor(F.col(own_taken) / F.col(own_size)).cast("int")
     rest = (F.col(own_taken) % F.col(own_size)).cast("int")
     lengths = F.concat(F.array_repeat(F.lit(0), full), F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<int>")))
@@ -119,13 +134,13 @@ def mixed_documents(docs: DataFrame, seed: str = SEED, weights: tuple[int, ...]
 def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, mixed by the weights 1, 2, 3."""
     docs = table(spark, sf_dir, "documents")
-    return mix(docs, word_count(F.col("text"))).drop("source")
+    return mix(docs, word_count(F.col("text"))).drop("source", "key")
 
 
 OP10_SQL = rf"""
 WITH d AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
-         md5('{SEED}/' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS key
+         md5('{SEED}/' || coalesce(CAST(doc_id AS VARCHAR), 'null') || '/' || md5(coalesce(text, ''))) AS key
   FROM documents),
 s AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source ASC NULLS LAST) - 1 AS nth FROM d GROUP BY source),

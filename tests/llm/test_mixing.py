@@ -73,6 +73,18 @@ def test_mixed_documents_hold_what_is_taken(spark):
         assert all(n == size for n in sorted(got.get(k, []))[1:])
 
 
+def test_repeated_rows_keep_the_budget(spark, monkeypatch):
+    monkeypatch.setattr(X, "RANGE_ROWS", 20)
+    data = [(7, "one two three four five", "a")] * 90 + [(None, f"null id {k}", "a") for k in range(90)] + [(k, "w " * 20, "b") for k in range(40)]
+    df = spark.createDataFrame(data, "doc_id long, text string, source string")
+    mixed = X.mix(df, X.word_count(F.col("text"))).collect()
+    got = {}
+    for r in X.mixed_documents(df).collect():
+        got[r.source] = got.get(r.source, 0) + len(WORDS.findall(r.text))
+    for s in "ab":
+        assert got[s] == sum(r.taken for r in mixed if r.source == s) == int(next(r.target for r in mixed if r.source == s))
+
+
 def test_no_rows_and_no_words(spark):
     empty = spark.createDataFrame([], "doc_id long, text string, source string")
     assert X.mix(empty, X.word_count(F.col("text"))).count() == 0
