@@ -3,9 +3,10 @@
 Markup is stripped into lines, one for each block of the page, in order. A line weighs what
 it has of text outside links; lines of menus, page headers and footers, sidebars, notices,
 adverts, forms and reader comments are left out first, and a line inside an article element
-weighs more. Weights are summed over a sliding window of lines; where the sum surges first
-the text begins, where it dives to nothing for the last time the text ends, and every line
-between is kept.
+weighs more. An element that holds most of the page's text is a layout whatever its name, unless
+it is a list of comments or the like. Weights are summed over a sliding window of lines; where
+the sum surges first the text begins, where it dives to nothing for the last time the text ends,
+but for lines of text beyond in the same element, and every line between is kept.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ import html
 import re
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -26,10 +28,10 @@ WINDOW, SURGE = 3, 80
 #: What a line inside an article element weighs besides its text.
 ARTICLE = SURGE
 
-_MARKUP = re.compile(
-    r"<!--(?:-?>|.*?--!?>|.*+)|<(script|style|textarea|title)(?=[\s/>])[^>]*+(?<!/)>(?:.*?</\1(?=[\s/>])[^>]*+>|.*+)|<!\[CDATA\[.*?\]\]>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>|<[!?/][^>]*+>",
-    re.S | re.I,
-)
+_RAW = re.compile(r"<(script|style|textarea|title)(?=[\s/>])[^>]*+(?<!/)>", re.I)
+_COMMENT = re.compile(r"<!--(?:-?>|.*?--!?>|.*+)", re.S)
+_QUOTED = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>")
+_SIMPLE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
 #: Skipped with what is in them, where they are closed; an unclosed one is only a tag.
 _SKIPPED = frozenset("noscript template svg math iframe object canvas select audio video".split())
 _FOREIGN = frozenset(("svg", "math"))
@@ -44,6 +46,9 @@ _NAMES = re.compile(
     r"(?<![a-z0-9])(?:ads?|adverts?|advertisements?|advertising|adsense|sponsor(?:ed|s)?|promos?|promotions?|banners?|menus?|nav|navs|navbar|navigation|breadcrumbs?|sidebars?|aside|footers?|header|masthead|topbar|toolbar"
     r"|cookies?|consent|gdpr|notices?|alerts?|popups?|modals?|overlays?|newsletters?|subscribe|subscription|signup|login|forms?|search|comments?|commentlist|disqus|respond|replies|reply|shar(?:e|ing)|social|related|recommended|widgets?|pagination|pager|copyright|legal)(?![a-z0-9])"
 )
+#: Classes of a page's own headings, though they name a header, and of what holds an article without being one.
+_HEADING = re.compile(r"(?:(?:post|entry|article|story|single|headline)-)+(?:header|heading|head|title|masthead)")
+_ENTRY = re.compile(r"(?:(?:post|entry|article|story|blog)-)*(?:h?entry|post|article|story)(?:-(?:content|body|text|inner|full|single))*")
 _OWN = re.compile(r"(?<![a-z0-9])(?:article|entry|post|content|story|main|body)(?![a-z0-9])")
 #: A whole class that names boilerplate, also where it stands on an article element or in one.
 _PARTS = re.compile(
@@ -59,18 +64,18 @@ _ATTRIBUTE = re.compile(r"""(?<![^\s"'])(class|id|role|hidden|aria-hidden|style)
 _ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog alertdialog menu menubar toolbar".split())
 
 
-def _classes(attributes: str) -> list[str]:
-    return [c.replace("_", "-") for key, value in _ATTRIBUTE.findall(attributes) if key.lower() == "class" for c in value.strip("\"'").lower().split()]
+def _classes(attributes: str, keys: tuple[str, ...] = ("class",)) -> list[str]:
+    return [c.replace("_", "-") for key, value in _ATTRIBUTE.findall(attributes) if key.lower() in keys for c in value.strip("\"'").lower().split()]
 
 
 def _unwanted(name: str, attributes: str, inside: bool) -> int:
-    """Whether an element is no part of an article: 0 no, 1 unless it holds an article element, 2 with those in it; ``inside``: it stands in one."""
+    """Whether an element is no part of an article: 0 no, 1 unless it holds an article element or most of the page, 2 in any case; ``inside``: it stands in one."""
     if name in _DROPPED or name == "header" and not inside:
         return 2 if name in ("nav", "footer", "aside") else 1
     if not attributes or name in ("html", "body", "main"):
         return 0
     if name == "article":
-        return 2 if any(map(_PARTS.fullmatch, _classes(attributes))) else 0
+        return 2 if any(map(_PARTS.fullmatch, _classes(attributes, ("class", "id")))) else 0
     worst = 0
     for key, value in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), value.strip("\"'").lower()
@@ -80,7 +85,7 @@ def _unwanted(name: str, attributes: str, inside: bool) -> int:
             if inside:  # a listed word within a name, as in related-work, says nothing there
                 named = (key == "class" or name in _BOXES) and any(map(_PARTS.fullmatch, parts)) and not (_OWN.search(value) and re.search(r"banner|promo", value))
                 worst = 2 if named else worst
-            elif _NAMES.search(value):
+            elif any(_NAMES.search(x) and not _HEADING.fullmatch(x) for x in parts):
                 worst = max(worst, 2 if _OTHERS.search(value) or any(map(_PARTS.fullmatch, parts)) and not _OWN.search(value) else 1)
         elif key == "role" and value in _ROLES:
             worst = max(worst, 2 if value in ("navigation", "contentinfo", "complementary") else 1)
@@ -89,65 +94,153 @@ def _unwanted(name: str, attributes: str, inside: bool) -> int:
     return worst
 
 
-def _nesting(tags: list[re.Match]) -> tuple[set[int], set[int]]:
-    """The tags whose element has an end tag of its own, and those whose element holds an article that isn't boilerplate."""
-    closed: set[int] = set()
-    holding: set[int] = set()
-    stack: list[tuple[str, int]] = []
+class Tag(NamedTuple):
+    """A piece of markup; of what is no element the name is empty."""
+
+    start: int
+    end: int
+    name: str
+    closing: bool
+    attributes: str
+    raw: bool  # an element with what is in it, of which no text is shown
+    text: str  # character data
+
+
+def markup(page: str) -> Iterator[Tag]:
+    """The markup of a page in order, in one pass: what can't end before the page does is looked for once."""
+    last, end_of_data, quotes, at = page.rfind(">"), page.rfind("]]>"), True, 0
+    while (at := page.find("<", at)) >= 0:
+        if page.startswith("<!--", at):
+            end = _COMMENT.match(page, at).end()
+            yield Tag(at, end, "", False, "", False, "")
+        elif at > last:
+            return  # no tag ends any more; only a comment could follow
+        elif page.startswith("<![CDATA[", at) and at < end_of_data:
+            end = page.index("]]>", at) + 3
+            yield Tag(at, end, "", False, "", False, page[at + 9 : end - 3])
+        elif m := _RAW.match(page, at):
+            close = _ENDS[m[1].lower()].search(page, m.end())
+            end = close.end() if close else len(page)
+            yield Tag(at, end, m[1].lower(), False, "", True, "")
+        elif m := (quotes and _QUOTED.match(page, at)) or _SIMPLE.match(page, at):
+            quotes = quotes and m.re is _QUOTED  # a quote is never closed: quotes are no guide from here on
+            end = m.end()
+            yield Tag(at, end, m[2].lower(), bool(m[1]), m[3], False, "")
+        elif page[at + 1 : at + 2] in ("!", "?", "/") and at + 1 < last:
+            end = page.index(">", at + 1) + 1
+            yield Tag(at, end, "", False, "", False, "")
+        else:
+            end = at + 1
+        at = end
+
+
+_ENDS = {x: re.compile(rf"</{x}(?=[\s/>])[^>]*+>", re.I) for x in ("script", "style", "textarea", "title")}
+
+
+class _Shape(NamedTuple):
+    """Of the tags by number: elements with an end tag of their own, those that hold an article that isn't boilerplate, and those that hold most text."""
+
+    closed: set[int]
+    holding: set[int]
+    most: set[int]
+
+
+def _shape(page: str, tags: list[Tag], skipped: dict[int, int]) -> _Shape:
+    shape = _Shape(set(), set(), set())
+    stack: list[tuple[str, int, int]] = []
     count: Counter[str] = Counter()
+    sizes: dict[int, int] = {}
+    size, at, skip, link = 0, 0, -1, False
+
+    def pop() -> tuple[str, int]:
+        name, k, before = stack.pop()
+        count[name] -= 1
+        sizes[k] = size - before
+        return name, k
+
     for i, m in enumerate(tags):
-        name = (m[3] or "").lower()
-        if not name or name in _INLINE or name in _VOID or name in _SKIPPED or m[4].endswith("/"):
+        if i > skip and not link:
+            size += len(page[at : m.start].strip())
+        at = m.end
+        name = m.name
+        if i <= skip or not name or m.raw:
             continue
-        if not m[2]:
+        if name in _SKIPPED:
+            skip = skipped.get(i, skip)
+            continue
+        if name == "a":
+            link = not m.closing
+        if name in _INLINE or name in _VOID or m.attributes.endswith("/"):
+            continue
+        link = False
+        if not m.closing:
             if name in _LOOSE and stack and stack[-1][0] == name:
-                count[stack.pop()[0]] -= 1
-            if name == "main" or name == "article" and not _unwanted(name, m[4], False):
-                for _, k in reversed(stack):
-                    if k in holding:
+                pop()
+            if name == "main" or name == "article" and not _unwanted(name, m.attributes, False):
+                for _, k, _ in reversed(stack):
+                    if k in shape.holding:
                         break
-                    holding.add(k)
-            stack.append((name, i))
+                    shape.holding.add(k)
+            stack.append((name, i, size))
             count[name] += 1
         elif count[name] and (name not in _LOOSE or stack[-1][0] == name):
             while True:
-                top, k = stack.pop()
-                count[top] -= 1
+                top, k = pop()
                 if top == name:
-                    closed.add(k)
+                    shape.closed.add(k)
                     break
-    return closed, holding
+    size += len(page[at:].strip())
+    while stack:
+        pop()
+    shape.most.update(k for k, n in sizes.items() if 2 * n > size)
+    return shape
 
 
-def _skipped(tags: list[re.Match]) -> dict[int, int]:
+def _skipped(tags: list[Tag]) -> dict[int, int]:
     """Where each skipped element begins and ends among ``tags``; nested ones are matched, unclosed ones left out."""
     open_: dict[str, list[int]] = {}
     ends: dict[int, int] = {}
     for i, m in enumerate(tags):
-        name = (m[3] or "").lower()
-        if name not in _SKIPPED:
+        if m.name not in _SKIPPED or m.raw:
             continue
-        if m[2]:
-            if open_.get(name):
-                ends[open_[name].pop()] = i
-        elif not (name in _FOREIGN and m[4].endswith("/")):
-            open_.setdefault(name, []).append(i)
+        if m.closing:
+            if open_.get(m.name):
+                ends[open_[m.name].pop()] = i
+        elif not (m.name in _FOREIGN and m.attributes.endswith("/")):
+            open_.setdefault(m.name, []).append(i)
     return ends
 
 
-def lines(page: str) -> list[tuple[str, int, bool, bool]]:
-    """The page's lines in order: text, characters in links, inside an article element, unwanted."""
-    out: list[tuple[str, int, bool, bool]] = []
+class Line(NamedTuple):
+    text: str
+    linked: int  # characters in links
+    inside: bool  # an article element
+    unwanted: bool
+    parent: int  # number of the element it stands in, -1 for none but the body
+
+
+class _Element:
+    __slots__ = ("adds", "bad", "closed", "name", "number", "strict")
+
+    def __init__(self, name: str, number: int, bad: bool, strict: bool, adds: bool, closed: bool) -> None:
+        self.name, self.number, self.bad, self.strict, self.adds, self.closed = name, number, bad, strict, adds, closed
+
+
+def lines(page: str) -> list[Line]:
+    """The page's lines in order."""
+    out: list[Line] = []
     parts: list[str] = []
-    stack: list[list] = []  # open elements: name, begins what is unwanted, article, adds weight, has an end tag
-    bad = main = more = link = linked = 0
+    stack: list[_Element] = []
+    count: Counter[str] = Counter()
+    bads: list[_Element] = []  # open elements that begin what is unwanted
+    strict = more = link = linked = n_closed = 0  # n_closed: of bads, those with an end tag
 
     def flush() -> None:
         nonlocal linked
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                out.append((text, linked, more > 0, bad > 0))
+                out.append(Line(text, linked, more > 0, bool(bads), stack[-1].number if stack and stack[-1].name not in ("html", "body") else -1))
             parts.clear()
         linked = 0
 
@@ -159,24 +252,43 @@ def lines(page: str) -> list[tuple[str, int, bool, bool]]:
             if link:
                 linked += len(t)
 
-    tags = list(_MARKUP.finditer(page))
+    def push(e: _Element) -> None:
+        nonlocal strict, more, n_closed
+        stack.append(e)
+        count[e.name] += 1
+        strict, more = strict + e.strict, more + e.adds
+        if e.bad:
+            bads.append(e)
+            n_closed += e.closed
+
+    def pop() -> str:
+        nonlocal strict, more, n_closed
+        e = stack.pop()
+        count[e.name] -= 1
+        strict, more = strict - e.strict, more - e.adds
+        if e.bad:
+            bads.pop()
+            n_closed -= e.closed
+        return e.name
+
+    tags = list(markup(page))
     skipped = _skipped(tags)
-    closed, holding = _nesting(tags)
+    shape = _shape(page, tags, skipped)
     at, skip = 0, -1
     for i, m in enumerate(tags):
         if i <= skip:
-            at = m.end()
+            at = m.end
             continue
-        text(page[at : m.start()])
-        at = m.end()
-        if m[0].startswith("<![CDATA["):
-            parts.append(m[0][9:-3])
+        text(page[at : m.start])
+        at = m.end
+        if not m.name:
+            if m.text:
+                parts.append(m.text)
             continue
-        if not m[3]:
-            if m[1]:
-                flush()
+        name, closing = m.name, m.closing
+        if m.raw:
+            flush()
             continue
-        name, closing = m[3].lower(), bool(m[2])
         if name in _SKIPPED:
             flush()
             skip = skipped.get(i, skip)
@@ -184,41 +296,33 @@ def lines(page: str) -> list[tuple[str, int, bool, bool]]:
         if name == "a":
             link = 0 if closing else 1
         if name in _INLINE:
-            if not closing and name not in _VOID and _unwanted(name, m[4], main > 0):
+            if not closing and name not in _VOID and _unwanted(name, m.attributes, strict > 0):
                 flush()
-                stack.append([name, True, False, False, True])
-                bad += 1
-            elif closing and stack and stack[-1][0] == name:
+                push(_Element(name, i, True, False, False, True))
+            elif closing and stack and stack[-1].name == name:
                 flush()
-                bad -= stack.pop()[1]
+                pop()
             continue
         flush()
         link = 0
-        if name in _VOID or m[4].endswith("/"):
+        if name in _VOID or m.attributes.endswith("/"):
             continue
-        unwanted = not closing and _unwanted(name, m[4], main > 0) > (i in holding)
-        if name in _LOOSE and not unwanted and not (closing and any(s[0] == name for s in stack)):
+        unwanted = not closing and _unwanted(name, m.attributes, strict > 0) > (i in shape.holding or i in shape.most)
+        if name in _LOOSE and not unwanted and not (closing and count[name]):
             continue
         if closing:
-            if any(s[0] == name for s in stack):
-                while stack:
-                    top = stack.pop()
-                    bad -= top[1]
-                    main -= top[2]
-                    more -= top[3]
-                    if top[0] == name:
-                        break
+            if count[name]:
+                while pop() != name:
+                    pass
             continue
         # an article in what was never closed doesn't belong to it; <main> belongs to nothing unwanted
-        if bad and not unwanted and (name == "main" or name == "article" and not any(x[1] and x[4] for x in stack)):
-            for x in stack:
-                x[1] = False
-            bad = 0
-        adds = name == "main" or name == "article" and not any(map(_TEASER.fullmatch, _classes(m[4])))
-        stack.append([name, unwanted, name in _MAIN, adds, i in closed or name in _LOOSE])
-        bad += unwanted
-        main += name in _MAIN
-        more += adds
+        if bads and not unwanted and (name == "main" or name == "article" and not n_closed):
+            for x in bads:
+                x.bad = False
+            bads.clear()
+            n_closed = 0
+        adds = name == "main" or name == "article" and not any(map(_TEASER.fullmatch, _classes(m.attributes)))
+        push(_Element(name, i, unwanted, name in _MAIN or name in _BOXES and any(map(_ENTRY.fullmatch, _classes(m.attributes))), adds, i in shape.closed or name in _LOOSE))
     text(page[at:])
     flush()
     return out
@@ -226,8 +330,8 @@ def lines(page: str) -> list[tuple[str, int, bool, bool]]:
 
 def main_text(page: str | None) -> str:
     """The article of a page; null and empty pages, and pages without text, have none."""
-    found = [x for x in lines(page or "") if not x[3]]
-    weights = [max(0, len(text) - 2 * linked) + ARTICLE * inside for text, linked, inside, _ in found]
+    found = [x for x in lines(page or "") if not x.unwanted]
+    weights = [max(0, len(x.text) - 2 * x.linked) + ARTICLE * x.inside for x in found]
     # surge: a window that starts with a line of weight reaches the sum; where only short lines are, each of weight is one
     surges = [k for k, w in enumerate(weights) if w and sum(weights[k : k + WINDOW]) >= SURGE] or [k for k, w in enumerate(weights) if w]
     if not surges:
@@ -235,7 +339,10 @@ def main_text(page: str | None) -> str:
     end = surges[-1]
     while any(weights[end : end + WINDOW]):  # dive: no weight in a whole window
         end += 1
-    return " ".join(x[0] for x in found[surges[0] : end])
+    # lines of text beyond, in an element that holds what has surged, belong to it
+    parents = {found[k].parent for k in surges} - {-1}
+    end = max([end, *(k + 1 for k in range(end, len(found)) if weights[k] and found[k].parent in parents)])
+    return " ".join(x.text for x in found[surges[0] : end])
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,5 +1,13 @@
 """Main text of made pages, and of markup that isn't well formed."""
 
+import html
+import re
+import time
+from pathlib import Path
+
+import pyarrow.parquet as pq
+import pytest
+
 from lipika.llm import line_blocks as B
 
 LONG = "This is a paragraph of the article that goes on for long enough to be one, with a comma or two."
@@ -91,6 +99,38 @@ def test_long_pages_take_linear_time():
     B.main_text("<article>" + "<div>" * 3000 + LONG)
 
 
+def test_wrappers_headings_and_comments():
+    for wrapper in ("div id='page' class='no-sidebar'", "form id='aspnetForm'", "div class='search-page'"):
+        assert B.main_text(f"<body><{wrapper}><div><p>{LONG}</p><p>{OTHER}</p></div></{wrapper.split()[0]}><div class='sidebar'>{LONG}</div></body>") == f"{LONG} {OTHER}", wrapper
+    assert B.main_text(f"<div class='entry'><p>{LONG}</p><div class='search-results-discussion'><p>{OTHER}</p></div></div><div class='search-form'>{OTHER}</div>") == f"{LONG} {OTHER}"
+    assert B.main_text(f"<div class='post'><div class='post-header'><h1>Heading</h1></div><p>{LONG}</p></div>") == f"Heading {LONG}"
+    assert B.main_text(f"<h1>Title</h1><p>By X</p><p>{LONG}</p><p>See <a href=x>the other long text that is linked</a>.</p><p>{OTHER}</p>") == f"Title By X {LONG} See the other long text that is linked. {OTHER}"
+    links = "<p><a href=1>a link</a></p>" * 3
+    assert B.main_text(f"<div><p>{LONG}</p>{links}<p>Final words.</p></div>{links}<p>Foot</p>") == f"{LONG} a link a link a link Final words."
+    assert B.main_text(f"<article><p>{LONG}</p></article><div><article id='comment-3'><p>{OTHER}</p></article></div><div class='related'><article><p>{OTHER}</p></article></div>") == LONG
+    assert B.main_text(f"<article><p>{LONG}</p></article><div class='comments'>{f'<p>{OTHER}</p>' * 5}</div>") == LONG
+
+
+def test_against_a_plain_cut_of_the_pages():
+    tables = Path("/root/testdata/sf0.001/pages.parquet")
+    if not tables.exists():
+        pytest.skip("no test data")
+    for page in pq.read_table(tables).column("html").to_pylist():
+        cut = re.search(r"<article>(.*)</article>", page, re.S)[1]
+        blocks = [html.unescape(re.sub(r"<[^>]*>", "", x)) for x in re.split(r"</?(?:p|h1|li|ul)\b[^>]*>", re.sub("<br>", " ", cut))]
+        assert B.main_text(page) == " ".join(" ".join(x.split()) for x in blocks if x.strip())
+
+
+@pytest.mark.parametrize("unit", ["<script ", "<![CDATA[", "<a b=\"", "<p ", "<div><section></aside>", "<!--", "<svg>", "<div class=ad><article>", "<div></section>", "<title ", "<a href='x>", "<article class=ad><form><article>"])
+def test_hostile_markup_takes_linear_time(unit):
+    def took(n):
+        began = time.perf_counter()
+        B.main_text(unit * n + "<p>text</p>" + LONG + "<" + "</section>" * n + "<" * n)
+        return time.perf_counter() - began
+
+    assert took(20_000) < 12 * took(5_000) + 0.5
+
+
 def test_rows(spark):
     rows = [(1, "u", f"<article>{LONG}</article>", "x"), (1, "u", None, "x"), (None, None, "", "x")]
     found = B.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()
