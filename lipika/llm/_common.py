@@ -48,11 +48,21 @@ def stored(df: DataFrame, name: str, compression: str = "snappy", **options: str
     This cuts the lineage: what follows never repeats what came before, also when executors go.
     The table is removed when the session's JVM ends.
     """
+    return _stored(df, name, compression, **options)[0]
+
+
+def _stored(df: DataFrame, name: str, compression: str = "snappy", **options: str) -> tuple[DataFrame, str]:
+    """A stored table and its path."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.options(**options).parquet(path, compression=compression)
     removed_at_exit(spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def few(df: DataFrame, rows: int = 1 << 20) -> DataFrame:
+    """``df``, a stored table of narrow rows, to be broadcast if it is counted to have no more than so many; else Spark chooses the join."""
+    return F.broadcast(df) if df.count() <= rows else df
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -96,9 +106,11 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
     Returns ``(id, component)`` for every id that occurs in an edge with another id; the
     component is its smallest id. Each round is one partial aggregation and one join on
     the vertex, so a vertex with very many edges is no unbounded group; rounds grow with
-    the logarithm of the longest chain. An edge list without rows gives no rows.
+    the logarithm of the longest chain; a round's table is removed after the next is written.
+    An edge list without rows gives no rows.
     """
-    current = stored(
+    spark = edges.sparkSession
+    current, path = _stored(
         edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u is not null and v is not null and u <> v").distinct(),
         "edges",
     )
@@ -112,7 +124,10 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(lowest, "u")
         small = small.select("u", F.col("m").alias("v")).unionByName(small.select(F.col("v").alias("u"), F.col("m").alias("v")))
-        current = stored(small.where("u <> v").distinct(), "edges")
+        current, following = _stored(small.where("u <> v").distinct(), "edges")
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        path = following
         after = _digest(current)
         if after == before:
             break

@@ -10,10 +10,12 @@ Candidates: documents that agree in all rows of a band. The number of bands foll
 threshold, so that a pair right at it is missed with a probability of at most ``MISS``.
 
 Verification: candidates that hang together form a cluster; each cluster's documents meet in
-one task, or, if it is large, in a task for each pair of its blocks, where *all* pairs are
-compared on their full shingle sets by a product of incidence matrices. A task gives back a
-spanning forest of its links, never the pairs. Documents with equal sets are one vertex
-throughout, so thousands of copies cost one.
+one task, or, if it is large, in blocks. A task compares *all* its pairs on their full shingle
+sets, by products of incidence matrices, but skips parts that links already hold together, and
+gives back a spanning forest, never the pairs. Of a large cluster every block first meets
+itself and the first block, so each text is sent about twice; only documents that are then
+outside the cluster's largest class meet each other and that class. Documents with equal sets
+are one vertex throughout, so thousands of copies cost one.
 """
 
 from __future__ import annotations
@@ -27,13 +29,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lipika.llm._common import connected_components, fresh, small_batches, stored, table
+from lipika.llm._common import connected_components, few, fresh, small_batches, stored, table
 
 #: Coordinates of a band, at most: so many that a pair at the threshold agrees in one band of four or more often.
 ROWS = 6
 MISS = 1e-6
-#: A block of a large cluster: at most about so many documents and shingles.
-BLOCK_DOCS, BLOCK_SHINGLES = 512, 1 << 20
+#: A block of a large cluster: at most about so many documents and shingles; and a part of it that is compared at once.
+BLOCK_DOCS, BLOCK_SHINGLES = 8192, 1 << 21
+PART_DOCS, PART_SHINGLES = 512, 1 << 19
 #: Columns of the incidence matrices that are multiplied at a time.
 BLOCK_COLUMNS = 4096
 
@@ -136,77 +139,127 @@ def _signer(shingle: int, bands: int, rows: int):
     return sign
 
 
-def links_within(sets: list[np.ndarray], percent: int, split: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """All pairs ``i < j`` with 100 * intersection >= percent * union, on full sets.
-
-    With ``split``, only pairs across it (the first ``split`` sets against the others).
-    """
-    sizes = np.array([len(s) for s in sets], dtype=np.int64)
-    left = slice(0, split or len(sets))
-    right = slice(split, len(sets))
-    _, at, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+def _linked(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which pairs across have 100 * intersection >= percent * union, on full sets."""
+    n = len(left)
+    sizes = np.array([len(s) for s in (*left, *right)], dtype=np.int64)
+    _, at, times = np.unique(np.concatenate([*left, *right]), return_inverse=True, return_counts=True)
     column = np.where(times > 1, np.cumsum(times > 1) - 1, -1)[at]
-    row = np.repeat(np.arange(len(sets)), sizes)
+    row = np.repeat(np.arange(len(sizes)), sizes)
     row, column = row[column >= 0], column[column >= 0]
     order = np.argsort(column, kind="stable")
     row, column = row[order], column[order]
-    common = np.zeros((left.stop, len(sets) - right.start), dtype=np.int64)
+    common = np.zeros((n, len(right)), dtype=np.int64)
     width = int(column[-1]) + 1 if len(column) else 0
     for first in range(0, width, BLOCK_COLUMNS):
         a, b = np.searchsorted(column, (first, first + BLOCK_COLUMNS))
-        m = np.zeros((len(sets), min(BLOCK_COLUMNS, width - first)), dtype=np.float32)
+        m = np.zeros((len(sizes), min(BLOCK_COLUMNS, width - first)), dtype=np.float32)
         m[row[a:b], column[a:b] - first] = 1
-        common += (m[left] @ m[right].T).astype(np.int64)
-    union = sizes[left][:, None] + sizes[right][None, :] - common
-    i, j = np.nonzero(100 * common >= percent * union)
-    j = j + right.start
-    return (i[i < j], j[i < j])
+        common += (m[:n] @ m[n:].T).astype(np.int64)
+    union = sizes[:n, None] + sizes[None, n:] - common
+    return 100 * common >= percent * union
 
 
-def forest(n: int, i: np.ndarray, j: np.ndarray) -> list[int]:
-    """For ``n`` vertices and edges ``i, j``: each vertex's least reachable vertex."""
-    root = list(range(n))
+def _parts(sets: list[np.ndarray], split: int) -> list[tuple[int, int]]:
+    """The sets in parts of bounded size, none across ``split``."""
+    parts, start, shingles = [], 0, 0
+    for k, s in enumerate(sets):
+        if k > start and (k == split or k - start == PART_DOCS or shingles + len(s) > PART_SHINGLES):
+            parts.append((start, k))
+            start, shingles = k, 0
+        shingles += len(s)
+    return [*parts, (start, len(sets))]
 
-    def find(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
 
-    for a, b in zip(i.tolist(), j.tolist(), strict=True):
-        a, b = find(a), find(b)
-        root[max(a, b)] = min(a, b)
-    return [find(x) for x in range(n)]
+def links_within(sets: list[np.ndarray], percent: int, split: int = 0, inner: bool = True, groups: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """A forest of links ``(i, j)`` that connects what all links of these sets connect.
+
+    Compared are the first ``split`` sets with the others and, if ``inner``, the others with each
+    other. Sets of equal ``groups`` are connected already; parts that are connected are skipped.
+    """
+    labels = np.arange(len(sets)) if groups is None else np.unique(groups, return_inverse=True)[1]
+    edges: list[tuple[int, int]] = []
+    parts = _parts(sets, split)
+    for y, (c, d) in enumerate(parts):
+        for x in (y, *range(y)):
+            a, b = parts[x]
+            if c < split or not (inner or a < split):
+                continue
+            own = np.concatenate([labels[a:b], labels[c:d]])
+            if (own == own[0]).all():
+                continue
+            linked = _linked(sets[a:b], sets[c:d], percent)
+            for i in np.flatnonzero(linked.any(1)) + a:
+                j = np.flatnonzero(linked[i - a]) + c
+                for label, k in zip(*np.unique(labels[j], return_index=True), strict=True):
+                    if label != labels[i]:
+                        edges.append((int(i), int(j[k])))
+                        labels[labels == label] = labels[i]
+    return edges
 
 
 def _linker(shingle: int, percent: int):
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, key, ids, sides, sets = _Words(), None, [], [], []
+        words, key, rows, sets = _Words(), None, [], []
 
         def flush() -> pa.RecordBatch:
-            order = sorted(range(len(ids)), key=lambda k: (sides[k], ids[k]))
-            split = sum(1 for s in sides if s == 0)
-            i, j = links_within([sets[k] for k in order], percent, split if split < len(ids) else 0)
-            root = forest(len(order), i, j)
-            pairs = [(ids[order[k]], ids[order[r]]) for k, r in enumerate(root) if k != r]
+            order = sorted(range(len(rows)), key=lambda k: rows[k])
+            split = sum(1 for r in rows if r[0] == 0)
+            groups = np.array([rows[k][2] for k in order])
+            found = links_within([sets[k] for k in order], percent, split, key[1] == key[2], groups)
+            pairs = [(rows[order[i]][1], rows[order[j]][1]) for i, j in found]
             return pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], names=["a", "b"])
 
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("cluster", "p", "q", "doc_id", "side", "text")]
-            for cluster, p, q, doc_id, side, text in zip(*columns, strict=True):
+            columns = [batch.column(c).to_pylist() for c in ("cluster", "p", "q", "side", "doc_id", "group", "text")]
+            for cluster, p, q, side, doc_id, group, text in zip(*columns, strict=True):
                 if (cluster, p, q) != key:
-                    if len(ids) > 1:
+                    if len(rows) > 1:
                         yield flush()
-                    key, ids, sides, sets = (cluster, p, q), [], [], []
-                ids.append(doc_id)
-                sides.append(side)
+                    key, rows, sets = (cluster, p, q), [], []
+                rows.append((side, doc_id, group))
                 sets.append(shingle_set(text, shingle, words))
-        if len(ids) > 1:
+        if len(rows) > 1:
             yield flush()
 
     return link
 
 
+def _compared(texts: DataFrame, meetings: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links ``a, b`` found where documents meet; ``meetings`` is stored: ``id, cluster, group`` and the array ``m`` of ``(p, q, side)``."""
+    met = texts.join(few(meetings), F.col("doc_id") == F.col("id")).select("cluster", "group", "doc_id", "text", F.explode("m").alias("m"))
+    met = met.select("cluster", "m.p", "m.q", "m.side", "doc_id", "group", "text").repartition("cluster", "p", "q").sortWithinPartitions("cluster", "p", "q")
+    return stored(met.mapInArrow(_linker(shingle, percent), "a long, b long"), "links")
+
+
+def _remaining(placed: DataFrame, links: DataFrame) -> DataFrame | None:
+    """Meetings of large clusters, after each block has met itself and the first: what is outside the largest class, with all.
+
+    Those outside are cut to blocks that meet in pairs ``p <= q``; the largest class is cut to
+    blocks ``-1, -2, ...`` that meet each of them.
+    """
+    large = placed.where("parts > 1")
+    if large.isEmpty():
+        return None
+    classes = connected_components(links)
+    large = large.join(classes, "id", "left").withColumn("group", F.coalesce("component", "id"))
+    sizes = large.groupBy("cluster", "group").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("s"))
+    parts = lambda n, s: F.greatest(F.ceil(n / BLOCK_DOCS), F.ceil(s / BLOCK_SHINGLES), F.lit(1)).cast("int")
+    top = F.max(F.struct("n", F.col("group"), "s"))
+    whole = sizes.groupBy("cluster").agg(top.alias("top"), F.sum("n").alias("n"), F.sum("s").alias("s")).where(F.col("n") > F.col("top.n"))
+    whole = whole.select("cluster", F.col("top.group").alias("largest"), parts(F.col("n") - F.col("top.n"), F.col("s") - F.col("top.s")).alias("out"), parts(F.col("top.n"), F.col("top.s")).alias("within"))
+    rows = large.join(whole, "cluster").withColumn("is_in", F.col("group") == F.col("largest"))
+    own = F.pmod(F.xxhash64("id"), F.when(F.col("is_in"), F.col("within")).otherwise(F.col("out"))).cast("int")
+    rows = rows.withColumn("own", own)
+    outer, inner = F.sequence(F.lit(0), F.col("out") - 1), F.sequence(F.lit(1), F.col("within"))
+    meeting = lambda p, q, side: F.struct(p.alias("p"), q.alias("q"), side.cast("int").alias("side"))
+    with_others = F.transform(outer, lambda k: meeting(F.least("own", k), F.greatest("own", k), F.col("own") >= k))
+    with_largest = F.transform(inner, lambda k: meeting(-k, F.col("own"), F.lit(1)))
+    from_largest = F.transform(outer, lambda k: meeting(-F.col("own") - 1, k, F.lit(0)))
+    meetings = stored(rows.select("id", "cluster", "group", F.when(F.col("is_in"), from_largest).otherwise(F.concat(with_others, with_largest)).alias("m")), "meetings")
+    return None if meetings.isEmpty() else meetings
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, miss: float = MISS) -> DataFrame:
     """Classes of near-duplicates: per row of ``docs`` its ``doc_id, n_shingles, component_id, kept``.
 
@@ -231,19 +284,18 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, miss:
     touching = members.join(buckets, "key").where("doc_id <> hub").select(F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct()
     clusters = stored(connected_components(touching).withColumnRenamed("component", "cluster"), "clusters")
 
-    # large clusters in blocks, each pair of blocks a task
-    sized = clusters.join(vertex_rows.select(F.col("doc_id").alias("id"), "n_shingles").distinct(), "id")
+    # large clusters in blocks: each meets itself and the first
+    sized = clusters.join(vertex_rows.select(F.col("doc_id").alias("id"), "n_shingles").groupBy("id").agg(F.max("n_shingles").alias("n_shingles")), "id")
     parts = F.greatest(F.ceil(F.count("*") / BLOCK_DOCS), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int")
     blocks = sized.groupBy("cluster").agg(parts.alias("parts"))
-    placed = clusters.join(blocks, "cluster").withColumn("own", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-    others = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda k: F.struct(F.least("own", k).alias("p"), F.greatest("own", k).alias("q"), (F.col("own") > k).cast("int").alias("side")))
-    meetings = placed.select("id", "cluster", F.explode(others).alias("m")).select("id", "cluster", "m.p", "m.q", "m.side")
-    # the vertex's own text: the first of rows that repeat a doc_id would be ambiguous, equal sets are not
-    wanted = clusters.select("id").join(vertex_rows.select(F.col("doc_id").alias("id"), "h1", "h2").distinct(), "id")
-    own_text = texts.join(wanted, F.col("doc_id") == F.col("id")).select("doc_id", "text")
-    met = own_text.join(meetings, F.col("doc_id") == F.col("id")).select("cluster", "p", "q", "doc_id", "side", "text")
-    met = met.repartition("cluster", "p", "q").sortWithinPartitions("cluster", "p", "q")
-    links = met.mapInArrow(_linker(shingle, percent), "a long, b long")
+    own = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
+    first = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda k: F.struct(k.alias("p"), k.alias("q"), (k == 0).cast("int").alias("side")))
+    alone = F.array(F.struct(own.alias("p"), own.alias("q"), F.lit(1).alias("side")))
+    placed = stored(sized.join(blocks, "cluster").select("id", "cluster", "n_shingles", "parts", F.col("id").alias("group"), F.when(own == 0, first).otherwise(alone).alias("m")), "placed")
+    links = _compared(texts, placed.select("id", "cluster", "group", "m"), shingle, percent)
+    rest = _remaining(placed.drop("group", "m"), links)
+    if rest is not None:
+        links = links.unionByName(_compared(texts, rest, shingle, percent))
     classes = connected_components(links).withColumnRenamed("id", "rep")
 
     named = vertices.join(classes, "rep", "left").select("h1", "h2", F.coalesce("component", "rep").alias("component"))
@@ -255,8 +307,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, miss:
 def one_of_each(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` without those whose class has a smaller doc_id; columns unchanged."""
     (gone_id,) = fresh(docs, "gone_id")
-    gone = near_duplicates(docs, shingle, percent).where("not kept").select(F.col("doc_id").alias(gone_id)).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col(gone_id), "left_anti")
+    gone = stored(near_duplicates(docs, shingle, percent).where("not kept").select(F.col("doc_id").alias(gone_id)).distinct(), "gone")
+    return docs.join(few(gone), F.col("doc_id") == F.col(gone_id), "left_anti")
 
 
 def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -50,13 +50,49 @@ def test_against_brute_force(spark, n, percent):
     assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in found} == brute(rows, n, percent)
 
 
-def test_large_cluster_in_blocks(spark, monkeypatch):
-    monkeypatch.setattr(N, "BLOCK_DOCS", 4)
+@pytest.mark.parametrize(("parts", "docs"), [(2, 4), (512, 4), (2, 16)])
+def test_large_cluster_in_blocks(spark, monkeypatch, parts, docs):
+    monkeypatch.setattr(N, "BLOCK_DOCS", docs)
+    monkeypatch.setattr(N, "PART_DOCS", parts)
     rows = corpus(3)
     found = N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in found} == brute(rows, 3, 85)
 
 
+def test_forest_connects_what_all_links_connect(monkeypatch):
+    monkeypatch.setattr(N, "PART_DOCS", 3)
+    rng, words = random.Random(7), N._Words()
+    sets = [s for _, t in corpus(8) if len(s := N.shingle_set(t, 3, words))]
+    rng.shuffle(sets)
+    all_links = [(i, j) for i, j in itertools.combinations(range(len(sets)), 2) if 100 * len(np.intersect1d(sets[i], sets[j])) >= 70 * len(np.union1d(sets[i], sets[j]))]
+
+    def classes(edges):
+        root = list(range(len(sets)))
+        for _ in sets:
+            for i, j in edges:
+                root[i] = root[j] = min(root[i], root[j])
+        return root
+
+    groups = np.array([k % 20 if k % 3 == 0 else 1000 + k for k in range(len(sets))])
+    known = [(i, j) for i, j in itertools.combinations(range(len(sets)), 2) if groups[i] == groups[j]]
+    for split in (0, 5):
+        for inner in (True, False):
+            wanted = [(i, j) for i, j in all_links if (i < split <= j) or (inner and i >= split)] if split or inner else []
+            assert classes(N.links_within(sets, 70, split, inner)) == classes(wanted)
+            assert classes([*N.links_within(sets, 70, split, inner, groups), *known]) == classes([*wanted, *known])
+
+
+def test_near_copies_are_sent_twice(spark, monkeypatch):
+    """A cluster in 40 blocks whose copies are all linked: no block meets more than itself and the first."""
+    monkeypatch.setattr(N, "BLOCK_DOCS", 10)
+    base = [f"w{k}" for k in range(200)]
+    rows = [(k, " ".join([*base[: k % 200], f"x{k}", *base[k % 200 + 1 :]])) for k in range(400)]
+    sent = []
+    monkeypatch.setattr(N, "_compared", lambda texts, m, *a, f=N._compared: (sent.append(m.selectExpr("sum(size(m))").first()[0]), f(texts, m, *a))[1])
+    found = N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.component_id for r in found} == {0} and len(sent) == 1 and sent[0] <= 2.5 * len(rows)
+
+
 def test_null_and_repeated_ids(spark):
     text = " ".join(f"a{i}" for i in range(30))
     docs = spark.createDataFrame([(None, text), (5, text), (5, text), (3, text), (None, None)], "doc_id long, text string")
