@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pytest
 
 from lipika.llm import epsilon_join as E
 
@@ -60,6 +61,26 @@ def test_against_brute_force(spark, monkeypatch):
             assert (r.vec_id, r.n_links, r.component_id, r.kept) == (r.vec_id, n_links, component, component == r.vec_id)
 
 
+@pytest.mark.parametrize(("bits", "sample"), [(0, 1), (1, 100), (4, 10_000)])
+def test_many_intervals_and_any_axes(spark, monkeypatch, bits, sample):
+    monkeypatch.setattr(E, "LEAF", 4)
+    monkeypatch.setattr(E, "RANGE_BITS", bits)
+    monkeypatch.setattr(E.principal_axes, "__defaults__", (sample,))
+    rng = np.random.default_rng(3)
+    base = np.concatenate([np.cumsum(rng.normal(size=(300, 6)) * 0.15, axis=0), rng.normal(size=(200, 6))])
+    rows = [(k, [float(v) for v in x.astype(np.float32)], k % 7 // 6) for k, x in enumerate(base)]
+    found = E.cosine_links(spark.createDataFrame([(*r, "x", "y") for r in rows], SCHEMA), interval=4).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in found} == brute(rows)
+
+
+@pytest.mark.parametrize(("kind", "labels"), [("string", ["a b", "a", "a b", None]), ("double", [0.5, 0.25, 0.5, None]), ("double", [0.0, 1.0, -0.0, None])])
+def test_labels_of_other_types(spark, kind, labels):
+    x = [1.0, 2.0, 3.0]
+    rows = [(k, x, label) for k, label in enumerate(labels)]
+    found = E.cosine_links(spark.createDataFrame(rows, f"vec_id long, embedding array<double>, label {kind}")).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in found} == {0: (1, 0), 1: (0, 1), 2: (1, 0), 3: (0, 3)}
+
+
 def test_repeated_rows_and_none(spark):
     rows = [(1, [1.0, 0.0], 0), (1, [1.0, 0.0], 0), (2, [1.0, 0.0], 0), (3, [2.0, 0.001], 0)]
     found = sorted((r.vec_id, r.n_links, r.component_id) for r in E.cosine_links(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect())
