@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lipika.llm._common import columns_of, fresh, stored, table
+from lipika.llm._common import columns_of, few, fresh, stored, table
 
 #: Rows of one range of the key space, about; ranges are hexadecimal digits of the key. The result doesn't depend on it.
 RANGE_ROWS = 50_000
@@ -102,26 +102,39 @@ def mix(docs: DataFrame, size: Column, seed: str = SEED, weights: tuple[int, ...
     return placed.select("doc_id", "source", "key", "size", "source_size", "target", (epochs * F.col("size") + part).cast("long").alias("taken"))
 
 
+def source_cuts(taken: DataFrame) -> DataFrame:
+    """Where the mix cuts each source, one row for each: ``source, epochs, cut, n_full, rest``.
+
+    Rows of a smaller key than ``cut`` give one epoch more than ``epochs``; of the equal rows at
+    the cut ``n_full`` do, and one gives ``rest`` words; without a ``cut`` none does.
+    """
+    epochs = F.when(F.col("source_size") > 0, F.floor(F.floor("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("int")
+    rows = taken.withColumn("epochs", epochs).withColumn("part", F.col("taken") - F.col("epochs") * F.col("size"))
+    whole, part = F.col("part") == F.col("size"), F.col("part")
+    by_key = rows.where(part > 0).groupBy("source", "key").agg(F.count_if(whole).alias("n_full"), F.coalesce(F.max(F.when(~whole, part)), F.lit(0)).alias("rest"))
+    last = by_key.groupBy(F.col("source").alias("s")).agg(F.max(F.struct("key", "n_full", "rest")).alias("last"))
+    sources = rows.groupBy("source").agg(F.max("epochs").alias("epochs"))
+    return sources.join(last, F.col("source").eqNullSafe(F.col("s")), "left").select("source", "epochs", F.col("last.key").alias("cut"), F.col("last.n_full").alias("n_full"), F.col("last.rest").cast("int").alias("rest"))
+
+
 def mixed_documents(docs: DataFrame, seed: str = SEED, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """The mix as rows with the columns of ``docs``: a document is repeated for every epoch that takes it.
 
     Texts come whole, but for each source's one document at the cut, of which the words up to
     the budget come (white space between them unchanged) and ``n_chars`` follows. Documents
-    of which nothing is taken, also those without words, don't come.
+    of which nothing is taken, also those without words, don't come. A row's key says on which
+    side of its source's cut it is, so no text is shuffled but of the equal rows right at a cut.
     """
-    own_id, own_source, own_size, own_taken, own_nth, own_key, key, nth, cut = fresh(docs, "mix_id", "mix_source", "mix_size", "mix_taken", "mix_own_nth", "mix_own_key", "mix_key", "mix_nth", "mix_cut")
-    # rows of one key, doc_id and source are equal in text: numbered on either side, each has its own share
-    taken = mix(docs, word_count(F.col("text")), seed, weights, max_epochs)
-    same = W.partitionBy("key", "doc_id", "source").orderBy(F.col("taken").desc())
-    taken = taken.withColumn(own_nth, F.row_number().over(same)).where("taken > 0")
-    taken = taken.select(F.col("key").alias(own_key), F.col("doc_id").alias(own_id), F.col("source").alias(own_source), F.col("size").alias(own_size), F.col("taken").alias(own_taken), own_nth)
-    rows = docs.withColumn(key, row_key(seed))
-    rows = rows.withColumn(nth, F.row_number().over(W.partitionBy(key, "doc_id", "source").orderBy(F.lit(1))))
-    rows = rows.join(taken, (F.col(key) == F.col(own_key)) & F.col("doc_id").eqNullSafe(F.col(own_id)) & F.col("source").eqNullSafe(F.col(own_source)) & (F.col(nth) == F.col(own_nth)))
-    full = F.floor(F.col(own_taken) / F.col(own_size)).cast("int")
-    rest = (F.col(own_taken) % F.col(own_size)).cast("int")
-    lengths = F.concat(F.array_repeat(F.lit(0), full), F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<int>")))
-    rows = rows.withColumn(cut, F.explode(lengths))
+    own_source, epochs, at, n_full, rest, key, nth, cut = fresh(docs, "mix_source", "mix_epochs", "mix_at", "mix_full", "mix_rest", "mix_key", "mix_nth", "mix_cut")
+    cuts = stored(source_cuts(mix(docs, word_count(F.col("text")), seed, weights, max_epochs)).toDF(own_source, epochs, at, n_full, rest), "cuts")
+    rows = docs.where(F.col("text").rlike(WORD)).withColumn(key, row_key(seed)).join(few(cuts), F.col("source").eqNullSafe(F.col(own_source)))
+    here = F.coalesce(F.col(key) == F.col(at), F.lit(False))
+    more = lambda whole: F.array_repeat(F.lit(0), F.col(epochs) + F.coalesce(whole, F.lit(False)).cast("int"))
+    beside = rows.where(~here).withColumn(cut, F.explode(more(F.col(key) < F.col(at))))
+    equal = rows.where(here).withColumn(nth, F.row_number().over(W.partitionBy(own_source, key).orderBy(F.lit(1))))
+    partly = (F.col(nth) == F.col(n_full) + 1) & (F.col(rest) > 0)
+    lengths = F.concat(more(F.col(nth) <= F.col(n_full)), F.when(partly, F.array(F.col(rest))).otherwise(F.array().cast("array<int>")))
+    rows = beside.unionByName(equal.withColumn(cut, F.explode(lengths)).drop(nth))
     begin = F.regexp_replace("text", r"^[\x20\x09-\x0D]+", "")
     words = F.slice(F.split(begin, r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])"), 1, F.greatest(F.col(cut), F.lit(1)))
     text = F.when(F.col(cut) == 0, F.col("text")).otherwise(F.regexp_replace(F.array_join(words, ""), r"[\x20\x09-\x0D]+$", ""))
