@@ -7,11 +7,14 @@ Patterns that also run in the SQL oracles stay within what RE2 and Java read ali
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Callable
+from collections import Counter
+from collections.abc import Callable, Iterator
 from functools import reduce
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -256,6 +259,20 @@ def characters(c: Column) -> Column:
     return F.filter(F.split(c, ""), lambda x: x != "")
 
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total: Counter[int] = Counter()
+    for batch in batches:
+        for text in batch.column("text"):
+            codes, n = np.unique(np.frombuffer((text.as_py() or "").encode("utf-32-le", "surrogatepass"), "<u4"), return_counts=True)
+            total.update(dict(zip(codes.tolist(), n.tolist(), strict=True)))
+    yield pa.RecordBatch.from_arrays([pa.array([chr(c) for c in total], pa.string()), pa.array(list(total.values()), pa.int64())], names=["ch", "n"])
+
+
+def character_counts(texts: DataFrame) -> DataFrame:
+    """Code points of ``text`` and how often each task met them, ``ch, n``: one row a character and task, to be summed."""
+    return texts.select(F.col("text").cast("string").alias("text")).mapInArrow(_counted, "ch string, n long")
+
+
 def escape_html(c: Column) -> Column:
     return F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
 

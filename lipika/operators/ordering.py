@@ -6,14 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-#: Lines of one document that a position leaves room for.
-LINES = 1 << 20
+#: Rows of one piece of a global order, about.
+PIECE_ROWS = 200_000
 
 
 def positions(docs: DataFrame, lines: Column, key: str = "doc_id") -> DataFrame:
-    """One row for each line of each row: adds ``pos`` (``key * 2^20 + line number``) and ``line``."""
+    """One row for each line of each row: adds ``pos``, a struct ``(doc_id, line_no)`` that sorts, and ``line``."""
     rows = docs.select("*", F.posexplode(lines).alias("line_no", "line"))
-    return rows.withColumn("pos", F.col(key) * LINES + F.col("line_no")).drop("line_no")
+    return rows.withColumn("pos", F.struct(F.col(key).alias("doc_id"), F.col("line_no").cast("long").alias("line_no"))).drop("line_no")
 
 
 def keep_first(rows: DataFrame, value: str = "line", pos: str = "pos") -> DataFrame:
@@ -21,14 +21,20 @@ def keep_first(rows: DataFrame, value: str = "line", pos: str = "pos") -> DataFr
     return rows.groupBy(value).agg(F.min(pos).alias(pos))
 
 
-def global_rank(rows: DataFrame, by: str, name: str = "rank", pieces: int = 256) -> DataFrame:
+def _pieces(rows: int) -> int:
+    return max(1, min(4096, -(-rows // PIECE_ROWS)))
+
+
+def global_rank(rows: DataFrame, by: str, name: str = "rank", pieces: int | None = None) -> DataFrame:
     """The place of every row in the order of the number ``by`` (from 0), without one task that sees all.
 
     Cut points of about equal shares split the order into pieces; counts of pieces are summed
     up to give each its beginning, and rows are numbered within their piece. Equal values are in one
-    piece; ``by`` should be distinct for a fixed order. Nulls come first.
+    piece; ``by`` should be distinct for a fixed order. Nulls come first. Without ``pieces``, rows
+    are counted and a piece has about ``PIECE_ROWS``.
     """
-    cuts = rows.approxQuantile(by, [k / pieces for k in range(1, pieces)], 0.002)
+    pieces = pieces or _pieces(rows.count())
+    cuts = rows.approxQuantile(by, [k / pieces for k in range(1, pieces)], 0.5 / pieces) if pieces > 1 else []
     cuts = sorted(set(cuts))
     piece = F.size(F.filter(F.array(*[F.lit(float(c)) for c in cuts]), lambda c: c < F.col(by))) if cuts else F.lit(0)
     marked = rows.withColumn("gr_piece", piece)
@@ -43,7 +49,7 @@ def systematic_sample(rows: DataFrame, by: str, n: int) -> DataFrame:
     """Every ``floor(N / n)``-th row in the order of ``by``, at most ``n`` (a sampling operator)."""
     total = rows.count()
     step = max(1, total // n)
-    ranked = global_rank(rows, by, "ss_rank")
+    ranked = global_rank(rows, by, "ss_rank", _pieces(total))
     return ranked.where((F.col("ss_rank") % step == 0) & (F.col("ss_rank") < n * step)).drop("ss_rank")
 
 
@@ -53,14 +59,26 @@ def even_picks(rows: DataFrame, by: str, n: int) -> DataFrame:
     if total <= n:
         return rows
     wanted = sorted({i * (total - 1) // (n - 1) for i in range(n)}) if n > 1 else [0]
-    return global_rank(rows, by, "ep_rank").where(F.col("ep_rank").isin(wanted)).drop("ep_rank")
+    return global_rank(rows, by, "ep_rank", _pieces(total)).where(F.col("ep_rank").isin(wanted)).drop("ep_rank")
+
 
+def middle_per_group(rows: DataFrame, group: str, by: str, pieces: int | None = None) -> DataFrame:
+    """The middle row of each group: number ``floor(count / 2)`` from 0, in the order of the number ``by``.
 
-def middle_per_group(rows: DataFrame, group: str, by: str) -> DataFrame:
-    """The middle row of each group: number ``floor(count / 2)`` from 0."""
-    w = W.partitionBy(group)
-    ranked = rows.withColumn("mg_n", F.count("*").over(w)).withColumn("mg_rank", F.row_number().over(w.orderBy(by)) - 1)
-    return ranked.where(F.col("mg_rank") == F.floor(F.col("mg_n") / 2)).drop("mg_n", "mg_rank")
+    Rows are counted by group and piece of the order; only the piece that holds a group's middle is
+    numbered, so a group that has most rows is no task's whole work. Null groups have no middle.
+    """
+    pieces = pieces or _pieces(rows.count())
+    cuts = sorted(set(rows.approxQuantile(by, [k / pieces for k in range(1, pieces)], 0.5 / pieces))) if pieces > 1 else []
+    piece = F.size(F.filter(F.array(*[F.lit(float(c)) for c in cuts]), lambda c: c < F.col(by))) if cuts else F.lit(0)
+    marked = rows.withColumn("mg_piece", piece)
+    counts = marked.groupBy(F.col(group).alias("mg_group"), F.col("mg_piece").alias("mg_at")).agg(F.count("*").alias("mg_n"))
+    w = W.partitionBy("mg_group")
+    counts = counts.withColumn("mg_before", F.sum("mg_n").over(w.orderBy("mg_at").rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("mg_n")).withColumn("mg_nth", F.floor(F.sum("mg_n").over(w) / 2) - F.col("mg_before"))
+    held = counts.where((F.col("mg_nth") >= 0) & (F.col("mg_nth") < F.col("mg_n"))).select("mg_group", "mg_at", "mg_nth")
+    near = marked.join(held, (F.col(group) == F.col("mg_group")) & (F.col("mg_piece") == F.col("mg_at")))
+    ranked = near.withColumn("mg_rank", F.row_number().over(W.partitionBy(group).orderBy(by)) - 1)
+    return ranked.where("mg_rank = mg_nth").select(*rows.columns)
 
 
 def head_per_group(rows: DataFrame, groups: list[str], by: str, per_group: int, most_groups: int | None = None) -> DataFrame:

@@ -17,6 +17,7 @@ from lipika.plans import sql as Q
 from lipika.plans.registry import Tables, query
 
 L = LATIN.letters
+PLACE = ("pos.doc_id", "pos.line_no")
 
 
 def lines(t: Tables) -> DataFrame:
@@ -44,21 +45,23 @@ def corpus_line_stats(t: Tables) -> DataFrame:
     """Lines, usable lines and first occurrences of each source: the corpus build in one plan."""
     counted = lambda x: X.bound(X.clean_line(x, LATIN), lambda v: F.struct(v.alias("line"), X.script_count(v, LATIN).alias("n")))
     rows = O.positions(t.documents.select("doc_id", "source", "text"), F.transform(X.text_lines(F.col("text")), counted)).select("source", "pos", "line.line", "line.n")
-    # counts by line and source, then each line's sources side by side: its array is as long as there are sources
-    counts = rows.groupBy("line", "source").agg(F.count("*").alias("c"), F.min("pos").alias("pos"), F.max("n").alias("n"))
-    lines_ = counts.groupBy("line").agg(F.max("n").alias("n"), F.collect_list(F.struct("pos", "source", "c")).alias("of"))
-    each = lines_.select("line", "n", F.array_min("of")["pos"].alias("first"), F.explode("of").alias("x"))
+    # counts by line and source, then each line's sources side by side: its array is as long as there are sources;
+    # only a line's length and letters are wanted, so 128 bits of digest stand for it
+    digest = [F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), F.col("line")).alias("h2")]
+    counts = rows.groupBy(*digest, "source").agg(F.count("*").alias("c"), F.min("pos").alias("pos"), F.max("n").alias("n"), F.max(F.length("line")).alias("size"))
+    lines_ = counts.groupBy("h1", "h2").agg(F.max("n").alias("n"), F.max("size").alias("size"), F.collect_list(F.struct("pos", "source", "c")).alias("of"))
+    each = lines_.select("size", "n", F.array_min("of")["pos"].alias("first"), F.explode("of").alias("x"))
     good = F.col("n") >= LATIN.min_letters
     first = good & (F.col("x.pos") == F.col("first"))
     total = lambda value: F.coalesce(F.sum(value), F.lit(0)).cast("long")
     return each.groupBy(F.col("x.source").alias("source")).agg(
-        F.sum("x.c").alias("n_lines"), total(F.when(good, F.col("x.c"))).alias("n_kept"), total(F.when(good, F.col("x.c") * F.length("line"))).alias("n_chars"), F.count_if(first).alias("n_unique"), total(F.when(first, F.col("n"))).alias("n_letters")
+        F.sum("x.c").alias("n_lines"), total(F.when(good, F.col("x.c"))).alias("n_kept"), total(F.when(good, F.col("x.c") * F.col("size"))).alias("n_chars"), F.count_if(first).alias("n_unique"), total(F.when(first, F.col("n"))).alias("n_letters")
     )
 
 
-@query(f"WITH {Q.LINES} SELECT doc_id, pos, line FROM lines")
+@query(f"WITH {Q.LINES} SELECT {Q.PLACE}, line FROM lines")
 def lines_explode(t: Tables) -> DataFrame:
-    return lines(t).select("doc_id", "pos", "line")
+    return lines(t).select(*PLACE, "line")
 
 
 @query(f"SELECT doc_id, len(list_filter(string_split(text, chr(10)), lambda x: x <> '')) AS n_nonempty, len(list_filter(string_split(text, chr(10)), lambda x: {Q.strip('x')} <> '')) AS n_nonblank FROM documents")
@@ -67,24 +70,24 @@ def line_counts(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", F.size(F.filter(rows, lambda x: x != "")).cast("long").alias("n_nonempty"), F.size(F.filter(rows, lambda x: X.strip(x) != "")).cast("long").alias("n_nonblank"))
 
 
-@query(f"WITH {Q.CLEAN} SELECT pos, line FROM clean WHERE line <> ''")
+@query(f"WITH {Q.CLEAN} SELECT {Q.PLACE}, line FROM clean WHERE line <> ''")
 def clean_lines(t: Tables) -> DataFrame:
-    return cleaned(t).where("line <> ''").select("pos", "line")
+    return cleaned(t).where("line <> ''").select(*PLACE, "line")
 
 
-@query(f"WITH {Q.LINES}, s AS (SELECT pos, {Q.strip('line')} AS line FROM lines) SELECT pos, line, {Q.ratio('line')} AS ratio FROM s WHERE length(line) >= 6 AND {Q.ratio('line')} >= 0.65")
+@query(f"WITH {Q.LINES}, s AS (SELECT pos, {Q.strip('line')} AS line FROM lines) SELECT {Q.PLACE}, line, {Q.ratio('line')} AS ratio FROM s WHERE length(line) >= 6 AND {Q.ratio('line')} >= 0.65")
 def script_ratio_filter(t: Tables) -> DataFrame:
     rows = lines(t).select("pos", X.strip(F.col("line")).alias("line")).withColumn("ratio", X.script_ratio(F.col("line"), LATIN))
-    return rows.where((F.length("line") >= LATIN.min_chars) & (F.col("ratio") >= LATIN.min_ratio))
+    return rows.where((F.length("line") >= LATIN.min_chars) & (F.col("ratio") >= LATIN.min_ratio)).select(*PLACE, "line", "ratio")
 
 
-@query(f"WITH {Q.CLEAN} SELECT line, min(pos) AS pos FROM kept GROUP BY line")
+@query(f"WITH {Q.CLEAN} SELECT line, {Q.PLACE} FROM (SELECT line, min(pos) AS pos FROM kept GROUP BY line)")
 def dedup_keep_first(t: Tables) -> DataFrame:
-    return O.keep_first(kept(t))
+    return O.keep_first(kept(t)).select("line", *PLACE)
 
 
 def _char_counts(t: Tables) -> DataFrame:
-    return t.documents.select(F.explode(F.regexp_extract_all("text", F.lit(f"[{L}]"), F.lit(0))).alias("ch")).groupBy("ch").agg(F.count("*").alias("n"))
+    return X.character_counts(t.documents).where(F.col("ch").rlike(f"^[{L}]$")).groupBy("ch").agg(F.sum("n").alias("n"))
 
 
 _CHARS = f"c AS (SELECT ch, count(*) AS n FROM (SELECT unnest(regexp_extract_all(text, '[{L}]')) AS ch FROM documents) GROUP BY ch)"
@@ -151,9 +154,9 @@ def html_sentences(t: Tables) -> DataFrame:
 _NOISE = [("<[^>]+>", ""), ("[।॥०-९]", ""), (r"\([ಀ-೿]\)", ""), (r"\+", ""), ("[''\"ʼ]", "")]
 
 
-@query(f"WITH {Q.LINES} SELECT pos, {Q.replaced('replace(line, chr(3302), chr(3202))', *_NOISE)} AS line FROM lines")
+@query(f"WITH {Q.LINES} SELECT {Q.PLACE}, {Q.replaced('replace(line, chr(3302), chr(3202))', *_NOISE)} AS line FROM lines")
 def noise_strip(t: Tables) -> DataFrame:
-    return lines(t).select("pos", X.strip_noise(F.col("line")).alias("line"))
+    return lines(t).select(*PLACE, X.strip_noise(F.col("line")).alias("line"))
 
 
 @query(f"WITH {Q.LINES} SELECT source, count(*) FILTER (regexp_matches(line, '<[^>]+>|[।॥]|[०-९]|\\([ಀ-೿]\\)|\\+|[''\"￼]')) AS n_noisy, count(*) AS n_lines FROM lines GROUP BY source")
@@ -161,15 +164,15 @@ def needs_cleaning(t: Tables) -> DataFrame:
     return lines(t).groupBy("source").agg(F.count_if(X.has_noise(F.col("line"))).alias("n_noisy"), F.count("*").alias("n_lines"))
 
 
-@query(f"WITH {Q.LINES} SELECT pos, array_to_string(list_filter(string_split(line, ' '), lambda w: NOT regexp_matches(w, '[#*%$&|0-9]')), ' ') AS line FROM lines")
+@query(f"WITH {Q.LINES} SELECT {Q.PLACE}, array_to_string(list_filter(string_split(line, ' '), lambda w: NOT regexp_matches(w, '[#*%$&|0-9]')), ' ') AS line FROM lines")
 def token_filter(t: Tables) -> DataFrame:
-    return lines(t).select("pos", X.filter_tokens(F.col("line"), "#*%$&|0-9").alias("line"))
+    return lines(t).select(*PLACE, X.filter_tokens(F.col("line"), "#*%$&|0-9").alias("line"))
 
 
 @query()
 def split_at_80(t: Tables) -> DataFrame:
     """Parts of every cleaned line; a fold that SQL has no short form of."""
-    rows = cleaned(t).where("line <> ''").select("pos", F.posexplode(X.split_at_boundary(F.col("line"), LATIN.max_chars)).alias("part_no", "part"))
+    rows = cleaned(t).where("line <> ''").select(*PLACE, F.posexplode(X.split_at_boundary(F.col("line"), LATIN.max_chars)).alias("part_no", "part"))
     return rows.where(X.script_count(F.col("part"), LATIN) >= LATIN.min_letters)
 
 
@@ -191,15 +194,15 @@ def encodable_lines(t: Tables) -> DataFrame:
 @query(
     f"""WITH {Q.CLEAN}, w AS (SELECT pos, generate_subscripts(ws, 1) - 1 AS i, unnest(ws) AS word FROM (SELECT pos, string_split(line, ' ') AS ws FROM kept)),
 f AS (SELECT pos, i, word, length(regexp_extract(word, '^(?:{_UNIT_SQL})*')) AS done FROM w),
-g AS (SELECT word[done + 1] AS bad, word, pos * 1048576 + i AS place FROM f WHERE done < length(word))
+g AS (SELECT word[done + 1] AS bad, word, (pos.doc_id, pos.line_no, i) AS place FROM f WHERE done < length(word))
 SELECT bad, count(*) AS n_words, arg_min(word, place) AS example FROM g GROUP BY bad"""
 )
 def unencodable_words(t: Tables) -> DataFrame:
     """The characters at which words first fail, how often, and the first such word."""
-    found = F.transform(F.split("line", " "), lambda w, i: F.struct(w.alias("word"), i.alias("i"), Dictionary(UNITS).failure_offset(w).alias("done")))
-    word = kept(t).select("pos", F.explode(F.filter(found, lambda x: x["done"].isNotNull())).alias("x"))
-    word = word.select(F.substring("x.word", F.col("x.done") + 1, F.lit(1)).alias("bad"), F.col("x.word").alias("word"), (F.col("pos") * O.LINES + F.col("x.i")).alias("at"))
-    return word.groupBy("bad").agg(F.count("*").alias("n_words"), F.min_by("word", "at").alias("example"))
+    words = kept(t).select("pos", F.posexplode(F.split("line", " ")).alias("i", "word"))
+    # each distinct word is matched once, with its number and its first place
+    words = words.groupBy("word").agg(F.count("*").alias("n"), F.min(F.struct("pos", "i")).alias("at")).withColumn("done", Dictionary(UNITS).failure_offset(F.col("word"))).where("done is not null")
+    return words.groupBy(F.substring("word", F.col("done") + 1, F.lit(1)).alias("bad")).agg(F.sum("n").alias("n_words"), F.min_by("word", "at").alias("example"))
 
 
 def _bigrams(t: Tables) -> DataFrame:
@@ -384,9 +387,9 @@ def head_per_group(t: Tables) -> DataFrame:
     return O.head_per_group(t.documents.select("doc_id", "lang", "source"), ["lang", "source"], "doc_id", 40, 2)
 
 
-@query(f"WITH {Q.LINES} SELECT pos, line, (SELECT count(*) FROM lines) AS total FROM lines ORDER BY pos DESC LIMIT 100")
+@query(f"WITH {Q.LINES} SELECT {Q.PLACE}, line, (SELECT count(*) FROM lines) AS total FROM lines ORDER BY pos DESC LIMIT 100")
 def last_lines(t: Tables) -> DataFrame:
-    return O.last_lines(lines(t).select("pos", "line"), 100)
+    return O.last_lines(lines(t).select("pos", "line"), 100).select(*PLACE, "line", "total")
 
 
 @query(
@@ -424,9 +427,10 @@ def largest_source(t: Tables) -> DataFrame:
 
 @query(
     f"""WITH {Q.LINES}, r AS (SELECT doc_id, generate_subscripts(w, 1) - 1 AS n, unnest(w) AS word FROM (SELECT doc_id, string_split(replace(text, chr(10), ' '), ' ') AS w FROM documents))
-SELECT word, min(doc_id * 1048576 + n) AS pos, count(*) AS n_words FROM r WHERE regexp_matches(word, '^[{L}]+$') GROUP BY word"""
+SELECT word, min(doc_id) AS doc_id, CAST(arg_min(n, (doc_id, n)) AS BIGINT) AS word_no, count(*) AS n_words FROM r WHERE regexp_matches(word, '^[{L}]+$') GROUP BY word"""
 )
 def word_list(t: Tables) -> DataFrame:
     """Words of script characters alone, each once at its first place."""
     words = t.documents.select("doc_id", F.posexplode(F.split(F.replace("text", F.lit("\n"), F.lit(" ")), " ", -1)).alias("n", "word")).where(X.script_only(F.col("word"), LATIN))
-    return words.groupBy("word").agg(F.min(F.col("doc_id") * O.LINES + F.col("n")).alias("pos"), F.count("*").alias("n_words"))
+    first = words.groupBy("word").agg(F.min(F.struct("doc_id", F.col("n").cast("long").alias("word_no"))).alias("at"), F.count("*").alias("n_words"))
+    return first.select("word", "at.doc_id", "at.word_no", "n_words")

@@ -39,5 +39,8 @@ def text_lines(expression: str) -> str:
     return f"CASE WHEN {expression} IS NULL OR {expression} = '' THEN [] WHEN {whole}[-1] = '' THEN {whole}[:-2] ELSE {whole} END"
 
 
-LINES = f"lines AS (SELECT doc_id, lang, source, doc_id * 1048576 + generate_subscripts(ls, 1) - 1 AS pos, unnest(ls) AS line FROM (SELECT doc_id, lang, source, {text_lines('text')} AS ls FROM documents))"
+LINES = f"""lines AS (SELECT doc_id, lang, source, {{'doc_id': doc_id, 'line_no': i}} AS pos, line FROM
+  (SELECT doc_id, lang, source, CAST(generate_subscripts(ls, 1) - 1 AS BIGINT) AS i, unnest(ls) AS line FROM (SELECT doc_id, lang, source, {text_lines('text')} AS ls FROM documents)))"""
 CLEAN = f"{LINES}, clean AS (SELECT doc_id, lang, source, pos, {clean('line')} AS line FROM lines), kept AS (SELECT * FROM clean WHERE {letters('line')} >= {LATIN.min_letters})"
+#: A place as two columns.
+PLACE = "pos.doc_id AS doc_id, pos.line_no AS line_no"

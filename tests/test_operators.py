@@ -22,9 +22,9 @@ def values(df, *columns):
 def test_order(spark):
     docs = spark.createDataFrame([(1, "b\na\nb"), (0, "a\nc")], "doc_id long, text string")
     rows = O.positions(docs, F.split("text", "\n")).select("pos", "line")
-    assert values(O.keep_first(rows), "line", "pos") == [("a", 0), ("b", O.LINES), ("c", 1)]
-    assert [tuple(r) for r in O.last_lines(rows, 2).orderBy("pos").collect()] == [(O.LINES + 1, "a", 5), (O.LINES + 2, "b", 5)]
-    assert values(O.last_per_key(rows, "line", "pos", "pos"), "line", "pos") == [("a", O.LINES + 1), ("b", O.LINES + 2), ("c", 1)]
+    assert values(O.keep_first(rows), "line", "pos") == [("a", (0, 0)), ("b", (1, 0)), ("c", (0, 1))]
+    assert [tuple(r) for r in O.last_lines(rows, 2).orderBy("pos").collect()] == [((1, 1), "a", 5), ((1, 2), "b", 5)]
+    assert values(O.last_per_key(rows, "line", "pos", "pos"), "line", "pos") == [("a", (1, 1)), ("b", (1, 2)), ("c", (0, 1))]
 
 
 @pytest.mark.parametrize("n", [0, 1, 7, 100, 1000])
