@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lipika.functions.text import VIRAMA
+from lipika.operators.ordering import global_rank
 
 
 def code_points(spark: SparkSession, first: int, last: int, assigned: bool = True) -> DataFrame:
@@ -55,7 +55,7 @@ def inventory(spark: SparkSession, vowels: tuple[int, int], consonants: tuple[in
 def packed_lines(words: DataFrame, pos: str = "pos", word: str = "word", per_line: int = 12, bare: str = "ಾ-್", carrier: str = "◌") -> DataFrame:
     """``line_no, line``: words in order, so many to a line; a bare combining sign gets a carrier."""
     shown = F.when(F.col(word).rlike(f"^[{bare}]"), F.concat(F.lit(carrier), F.col(word))).otherwise(F.col(word))
-    numbered = words.select(F.col(pos).alias("p"), shown.alias("w")).withColumn("n", F.row_number().over(W.orderBy("p")) - 1)
+    numbered = global_rank(words.select(F.col(pos).alias("p"), shown.alias("w")), "p", "n")
     lines = numbered.groupBy(F.floor(F.col("n") / per_line).alias("line_no")).agg(F.array_sort(F.collect_list(F.struct("n", "w"))).alias("ws"))
     return lines.select("line_no", F.array_join(F.col("ws.w"), " ").alias("line"))
 
