@@ -176,6 +176,8 @@ def _folder(t: Tables) -> str:
     named = t.spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if t.spark.conf.get("spark.master", "").split("[")[0] != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     private = tempfile.mkdtemp(prefix="lipika-stream-")
     atexit.register(shutil.rmtree, private, ignore_errors=True)
     return f"file://{private}"

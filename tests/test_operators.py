@@ -216,3 +216,19 @@ def test_generators(spark):
     jobs = G.render_jobs(spark.createDataFrame([("s1",), ("s2",)], "style string"), spark.createDataFrame([("t", ["p", "q"])], "title string, pages array<string>"))
     assert values(jobs, "style", "title", "page_no") == [("s1", "t", 0), ("s1", "t", 1), ("s2", "t", 0), ("s2", "t", 1)]
     assert KANNADA.block_size == 128
+
+
+def test_positions_have_no_cap(spark):
+    docs = spark.createDataFrame([(1 << 62, "a\nb"), (-(1 << 62), "b\n" * ((1 << 20) + 5) + "z"), ((1 << 62) + 1, "z\nc")], "doc_id long, text string")
+    rows = O.positions(docs, F.split("text", "\n")).select("pos", "line")
+    assert values(O.keep_first(rows), "line", "pos") == [("a", (1 << 62, 0)), ("b", (-(1 << 62), 0)), ("c", ((1 << 62) + 1, 1)), ("z", (-(1 << 62), (1 << 20) + 5))]
+
+
+@pytest.mark.parametrize("pieces", [None, 1, 7])
+def test_middles_and_ranks_by_pieces(spark, pieces):
+    rows = spark.range(500).select((F.col("id") * 7 % 501).alias("v"), F.when(F.col("id") % 10 < 7, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 3)).alias("g"))
+    data = [tuple(r) for r in rows.collect()]
+    middle = {g: sorted(v for v, x in data if x == g) for _, g in data}
+    assert {(r.g, r.v) for r in O.middle_per_group(rows, "g", "v", pieces).collect()} == {(g, v[len(v) // 2]) for g, v in middle.items()}
+    assert [r["rank"] for r in O.global_rank(rows, "v", pieces=pieces).orderBy("v").collect()] == list(range(500))
+    assert O.middle_per_group(rows.limit(0), "g", "v", pieces).count() == 0
