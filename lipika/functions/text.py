@@ -302,5 +302,5 @@ def clip(c: Column, n: int) -> Column:
 
 def context_windows(c: Column, middle: str = VIRAMA, profile: ScriptProfile = KANNADA) -> Column:
     """Distinct three-character contexts of ``middle`` between characters of the script."""
-    triples = F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - 2, F.lit(1))), lambda i: F.substring(c, i, F.lit(3)))
-    return F.array_distinct(F.filter(triples, lambda t: t.rlike(f"^[{profile.letters}]{middle}[{profile.letters}]$")))
+    # contexts overlap, so they are looked at, not consumed: one pass over the line
+    return F.array_distinct(F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(f"(?=([{profile.letters}]{middle}[{profile.letters}]))"), F.lit(1)))
