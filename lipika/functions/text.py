@@ -22,6 +22,8 @@ from lipika.functions.profiles import KANNADA, ScriptProfile
 
 #: White space as Python's str.strip and str.split know it.
 SPACE = r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+#: The same characters one by one.
+SPACES = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 VIRAMA, ZWNJ, ZERO, ANUSVARA = "\u0ccd", "\u200c", "\u0ce6", "\u0c82"
 
 
@@ -32,7 +34,7 @@ def bound(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def strip(c: Column) -> Column:
     """Without Unicode white space at both ends."""
-    return F.regexp_replace(c, rf"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(c, F.lit(SPACES))
 
 
 def replace_all(c: Column, *steps: tuple[str, str]) -> Column:
@@ -62,7 +64,9 @@ def clean_line(c: Column, profile: ScriptProfile) -> Column:
 
 def script_count(c: Column, profile: ScriptProfile, assigned: bool = True) -> Column:
     """Number of the script's characters."""
-    return F.regexp_count(c, F.lit(profile.assigned if assigned else f"[{profile.letters}]"))
+    # how much shorter the text is without them: no array of single characters is made
+    pattern = profile.assigned if assigned else f"[{profile.letters}]"
+    return bound(c, lambda x: F.length(x) - F.length(F.regexp_replace(x, f"{pattern}+", "")))
 
 
 def script_ratio(c: Column, profile: ScriptProfile) -> Column:
@@ -119,13 +123,14 @@ def wiki_sentences(c: Column, profile: ScriptProfile, min_ratio: float = 0.75, m
 
 def strip_verse(c: Column) -> Column:
     """A line without a verse number between double bars at its end; single spaces."""
-    return F.regexp_replace(F.regexp_replace(F.regexp_replace(strip(c), rf"[।|]{{2}}[{SPACE[1:-1]}0-9\u0966-\u096f\u0ce6-\u0cef]+[।|]{{2}}{SPACE}*$", ""), rf"{SPACE}+$", ""), r"[ \t]+", " ")
+    # stripped, so the closing bars are the last characters
+    bare = F.rtrim(F.regexp_replace(strip(c), rf"[।|]{{2}}[{SPACE[1:-1]}0-9\u0966-\u096f\u0ce6-\u0cef]++[।|]{{2}}\z", ""), F.lit(SPACES))
+    return bound(bare, lambda x: F.when(x.contains("  ") | x.contains("\t"), F.regexp_replace(x, r"[ \t]+", " ")).otherwise(x))
 
 
 def verse_line(c: Column, profile: ScriptProfile, min_ratio: float = 0.35, min_chars: int = 4) -> Column:
     """The line without its verse number, or null where it is too short or too little in the script."""
-    line = strip_verse(c)
-    return F.when((F.length(line) >= min_chars) & (script_ratio(line, profile) >= min_ratio), line)
+    return bound(strip_verse(c), lambda x: F.when((F.length(x) >= min_chars) & (script_ratio(x, profile) >= min_ratio), x))
 
 
 def strip_noise(c: Column) -> Column:
