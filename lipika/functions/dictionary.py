@@ -1,8 +1,8 @@
 """Encodability in a dictionary of units, compiled to regular expressions.
 
-A greedy walk takes the longest unit at each place. Ordered alternation, longest first, with
-a possessive repeat takes the same ones and never goes back, so one match decides. The
-dictionary is small (it is a model's alphabet) and becomes a literal.
+A greedy walk takes the longest unit at each place. Alternatives by first character, the longest
+first among them, with a possessive repeat take the same ones and never go back, so one match
+decides. The dictionary is small (it is a model's alphabet) and becomes a literal.
 """
 
 from __future__ import annotations
@@ -39,8 +39,18 @@ class Dictionary:
         return cls((r[0] for r in rows if r[0]), exempt)
 
     def alternation(self, exempt_first: bool = False) -> str:
-        """The units, longest first, and the exempt characters after them (or before)."""
-        units, exempt = [_quoted(u) for u in self.units], [_quoted(c) for c in self.exempt]
+        """The longest unit, and the exempt characters after the units (or before).
+
+        Units of one character that begin no longer one are a class; others stand behind their first
+        character, longest first. So a place tries what begins like it, not the whole dictionary.
+        """
+        rest: dict[str, list[str]] = {}
+        for u in self.units:
+            rest.setdefault(u[0], []).append(u[1:])
+        alone = "".join(_quoted(c) for c, tails in rest.items() if tails == [""])
+        units = [f"[{alone}]"] if alone else []
+        units += [f"{_quoted(c)}(?:{'|'.join(map(_quoted, tails))})" for c, tails in rest.items() if tails != [""]]
+        exempt = [f"[{''.join(map(_quoted, self.exempt))}]"] if self.exempt else []
         return "|".join([*exempt, *units] if exempt_first else [*units, *exempt])
 
     def encodable(self, c: Column, exempt_first: bool = False) -> Column:
@@ -56,6 +66,12 @@ class Dictionary:
         done = F.length(F.regexp_extract(c, rf"\A(?:{self.alternation()})*+", 0))
         return bound(done, lambda d: F.when(d < F.length(c), d)) if self.units else F.lit(None).cast("int")
 
+    def failing_words(self, c: Column) -> Column:
+        """Words (at single spaces) that the walk doesn't get through, in order: one pass over the text."""
+        within = Dictionary((u for u in self.units if " " not in u), self.exempt.replace(" ", "")).alternation()
+        walk = f"(?:{within})*+" if within else ""
+        return F.regexp_extract_all(c, F.lit(rf"\G(?:{walk} )*+({walk}[^ ]++)"), F.lit(1)) if self.units else F.array().cast("array<string>")
+
     def first_failure(self, c: Column, letters: str = "\u0c80-\u0cff", signs: str = "\u0cbe-\u0ccc") -> Column:
         """The whole cluster around the first failure: back over a virama and its base, on over viramas and signs."""
         at = self.failure_offset(c)

@@ -56,7 +56,8 @@ def clean_line(c: Column, profile: ScriptProfile) -> Column:
     last = lambda x: x.endswith("=") | x.endswith("*") | x.endswith("#")
     steps = [(has("<"), r"<[^>]+>", " "), (has("http"), r"https?://\S+", ""), (has("["), r"\[\d+\]", ""), (first, r"^[=*#\s]+", ""), (last, r"[=*#]+$", "")]
     line = reduce(lambda x, s: bound(x, lambda v: F.when(s[0](v), F.regexp_replace(v, s[1], s[2])).otherwise(v)), steps, c)
-    line = F.regexp_replace(line, rf"[^{profile.keep}{profile.letters}]+", "")
+    # what stays is consumed with what goes: a search that tries every place afresh takes several times as long
+    line = F.regexp_replace(line, rf"\G([{profile.keep}{profile.letters}]*+)[^{profile.keep}{profile.letters}]++", "$1")
     if profile.assigned != f"[{profile.letters}]":
         line = F.regexp_replace(line, rf"[{profile.letters}&&[^{profile.assigned}]]", "")
     return F.trim(bound(line, lambda v: F.when(v.contains("  "), F.regexp_replace(v, " +", " ")).otherwise(v)))

@@ -199,10 +199,11 @@ SELECT bad, count(*) AS n_words, arg_min(word, place) AS example FROM g GROUP BY
 )
 def unencodable_words(t: Tables) -> DataFrame:
     """The characters at which words first fail, how often, and the first such word."""
-    words = kept(t).select("pos", F.posexplode(F.split("line", " ")).alias("i", "word"))
-    # each distinct word is matched once, with its number and its first place
-    words = words.groupBy("word").agg(F.count("*").alias("n"), F.min(F.struct("pos", "i")).alias("at")).withColumn("done", Dictionary(UNITS).failure_offset(F.col("word"))).where("done is not null")
-    return words.groupBy(F.substring("word", F.col("done") + 1, F.lit(1)).alias("bad")).agg(F.sum("n").alias("n_words"), F.min_by("word", "at").alias("example"))
+    units = Dictionary(UNITS)
+    # only words that fail become rows; their order within a line is that of their places
+    words = kept(t).select("pos", F.posexplode(units.failing_words(F.col("line"))).alias("i", "word"))
+    words = words.select(F.substring("word", units.failure_offset(F.col("word")) + 1, F.lit(1)).alias("bad"), "word", F.struct("pos", "i").alias("at"))
+    return words.groupBy("bad").agg(F.count("*").alias("n_words"), F.min_by("word", "at").alias("example"))
 
 
 def _bigrams(t: Tables) -> DataFrame:

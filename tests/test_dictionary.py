@@ -59,3 +59,27 @@ def test_failing_cluster(spark):
 def test_from_table(spark):
     units = spark.createDataFrame([("a",), ("ab",), (None,), ("a",)], "unit string")
     assert Dictionary.from_table(units).units == ["ab", "a"]
+
+
+def test_failing_words(spark):
+    """Against the walk over each word; random texts, units with shared beginnings, units with a space."""
+    rng = random.Random(7)
+    texts = ["".join(rng.choice("abcd  \tx-😀") for _ in range(rng.randrange(40))) for _ in range(300)] + ["", " ", None, "ab " * 50_000 + "x"]
+    for units in (["a", "ab", "abc", "cd", "-"], ["ab", "b c", "😀", "d"], ["b-", "a"], []):
+        d = Dictionary(units)
+        fails = lambda w: bool(units) and walk(w, units) < len(w)  # noqa: E731, B023
+        rows = spark.createDataFrame(list(enumerate(texts)), "i int, v string").select("i", d.failing_words(F.col("v")).alias("r")).orderBy("i").collect()
+        assert [r.r or [] for r in rows] == [[w for w in (t or "").split(" ") if fails(w)] for t in texts]
+
+
+def test_alternatives_by_first_character():
+    """A place doesn't try the whole dictionary: one class, then one alternative for each beginning."""
+    assert Dictionary(["the", "th", "t", "a", "]", "er", "^"]).alternation() == r"[\]\^a]|t(?:he|h|)|e(?:r)|[ " + r"\t\n]"
+
+
+def test_only_failing_words_are_sorted(spark):
+    """Rows of words are those that fail; encodable words were sorted and shuffled too."""
+    from lipika.plans import QUERIES
+
+    plan = QUERIES["unencodable_words"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [") == 1 and "split(line" not in plan
